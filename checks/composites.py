@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters as a
-from checks.registry import query
+from checks.registry import query, r6, rounded
 from touchline.functions.scalar import interactions
 from touchline.plans import features, form, games as games_plan, players as players_plan, refresh, standings
 
 Spark = SparkSession
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round the double columns, for comparison with another engine."""
-    return df.select([F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
 
 def _team_games(spark: Spark, sf: str) -> DataFrame:
     return games_plan.team_games(a.games(spark, sf))
@@ -49,10 +45,10 @@ def k2(spark: Spark, sf: str) -> DataFrame:
     return _team_games(spark, sf).select(TEAM_COLUMNS)
 
 
-def form_sql(n: int, scope: str, side: str, source: str, next_id: str, digits: int | None = 6) -> str:
+def form_sql(n: int, scope: str, side: str, source: str, next_id: str, rounding: bool = True) -> str:
     def mean(column: str) -> str:
         over = f"AVG({column}) OVER (PARTITION BY season_start_year, team_id_season ORDER BY kickoff, id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-        return over if digits is None else f"ROUND({over}, {digits})"
+        return r6(over) if rounding else over
 
     measures = ",\n".join(
         f"{mean(c)} AS {stem}_latest_{n}_games_{scope}_{side}_team" for c, stem in form.MEASURES.items()
@@ -146,7 +142,7 @@ IMPACT_NAMES = [f"impact_game_{c}" for c in players_plan.IMPACT_COLUMNS + RATE_N
 
 
 def _rounded_sql(columns: list[str]) -> str:
-    return ", ".join(f"ROUND({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"{r6(c)} AS {c}" for c in columns)
 
 
 @query(
@@ -241,7 +237,7 @@ def k8(spark: Spark, sf: str) -> DataFrame:
     "k9_table_interactions",
     a.with_ctes("team_games", extra=STANDINGS)
     + "SELECT season_start_year, team_id_season, next_kickoff_date, "
-    + ", ".join(f"ROUND((number_of_games * {g}) * (number_of_games / 38.0), 6) AS nog_{g}" for g in features.GAPS)
+    + ", ".join(f"{r6(f'(number_of_games * {g}) * (CAST(number_of_games AS DOUBLE) / 38)')} AS nog_{g}" for g in features.GAPS)
     + " FROM standings",
 )
 def k9(spark: Spark, sf: str) -> DataFrame:
@@ -257,10 +253,10 @@ FEATURE_VIEWS = {
     "base": BASE_SQL,
     "home_rows": venue_rows(True),
     "away_rows": venue_rows(False),
-    "form_h": form_sql(5, "overall", "home", "team_games", "next_id", None),
-    "form_a": form_sql(5, "overall", "away", "team_games", "next_id", None),
-    "form_hh": form_sql(5, "home", "home", "home_rows", "next_id_home", None),
-    "form_aa": form_sql(5, "away", "away", "away_rows", "next_id_away", None),
+    "form_h": form_sql(5, "overall", "home", "team_games", "next_id", False),
+    "form_a": form_sql(5, "overall", "away", "team_games", "next_id", False),
+    "form_hh": form_sql(5, "home", "home", "home_rows", "next_id_home", False),
+    "form_aa": form_sql(5, "away", "away", "away_rows", "next_id_away", False),
 }
 FORM_NAMES = [
     f"{stem}_latest_5_games_{scope}_{side}_team"
@@ -270,11 +266,11 @@ FORM_NAMES = [
 SHOWN_STATS = ["max_all_rolling_mean_6_impact_game_value", "max_g_rolling_max_6_impact_game_selected",
                "max_d_rolling_mean_6_hourly_rate_assists", "max_f_rolling_max_6_impact_game_threat"]
 FEATURES_SQL = a.with_ctes("details", "info", "team_games", extra=FEATURE_VIEWS) + f"""
-SELECT b.season_start_year, b.id, b.kickoff_date, b.train_score, b.label_1, {', '.join(f'ROUND({c}, 6) AS {c}' for c in FORM_NAMES)},
+SELECT b.season_start_year, b.id, b.kickoff_date, b.train_score, b.label_1, {', '.join(f'{r6(c)} AS {c}' for c in FORM_NAMES)},
        th.position AS tbl_home_position, ta.position AS tbl_away_position, th.team_points AS tbl_home_team_points,
-       ROUND((th.number_of_games * th.points_to_win) * (th.number_of_games / 38.0), 6) AS tbl_home_nog_points_to_win,
-       ROUND((ta.number_of_games * ta.points_to_cl) * (ta.number_of_games / 38.0), 6) AS tbl_away_nog_points_to_cl,
-       {', '.join(f'ROUND(ph.{c}, 6) AS player_home_{c}, ROUND(pa.{c}, 6) AS player_away_{c}, ROUND(ph.{c} - pa.{c}, 6) AS player_diff_{c}' for c in SHOWN_STATS)}
+       {r6('(th.number_of_games * th.points_to_win) * (CAST(th.number_of_games AS DOUBLE) / 38)')} AS tbl_home_nog_tbl_home_points_to_win,
+       {r6('(ta.number_of_games * ta.points_to_cl) * (CAST(ta.number_of_games AS DOUBLE) / 38)')} AS tbl_away_nog_tbl_away_points_to_cl,
+       {', '.join(f'{r6(f"ph.{c}")} AS player_home_{c}, {r6(f"pa.{c}")} AS player_away_{c}, {r6(f"ph.{c} - pa.{c}")} AS player_diff_{c}' for c in SHOWN_STATS)}
 FROM base b
 JOIN form_h fh ON b.season_start_year = fh.season_start_year AND b.team_h = fh.team_id_season AND b.id = fh.next_id
 JOIN form_a fa ON b.season_start_year = fa.season_start_year AND b.team_a = fa.team_id_season AND b.id = fa.next_id
@@ -298,7 +294,7 @@ def k10(spark: Spark, sf: str) -> DataFrame:
         feature_data(spark, sf).select(
             "season_start_year", "id", "kickoff_date", "train_score", "label_1", *FORM_NAMES,
             "tbl_home_position", "tbl_away_position", "tbl_home_team_points",
-            "tbl_home_nog_points_to_win", "tbl_away_nog_points_to_cl", *shown,
+            "tbl_home_nog_tbl_home_points_to_win", "tbl_away_nog_tbl_away_points_to_cl", *shown,
         )
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,3 +23,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return function
 
     return register
+
+
+# Averages are compared at six digits. Engines add in different orders, so a value that lies exactly
+# between two of them could go either way; a shift far below the last digit settles it.
+NUDGE = 1e-9
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Round the double columns for comparison."""
+    return df.select([F.round(F.col(c) + NUDGE, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def r6(expression: str) -> str:
+    """The SQL counterpart of :func:`rounded`."""
+    return f"ROUND({expression} + 1e-9, 6)"

@@ -34,8 +34,8 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def half_even(value: Column, digits: int = 2) -> Column:
-    """Round half to even."""
-    return F.bround(value, digits)
+    """Round half to even on the scaled binary value."""
+    return F.rint(value * 10.0**digits) / 10.0**digits
 
 
 def bin_index(value: Column, edges: Column) -> Column:

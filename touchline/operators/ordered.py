@@ -309,7 +309,8 @@ def cumulative(df: DataFrame, layout: GroupLayout, sums: Mapping[str, str | Colu
     joined = inside.join(layout._small(offsets), same_keys(inside, offsets, pairs), "left")
     return joined.select(
         *df.columns,
-        *[(F.col(out) + F.coalesce(F.col(f"__{out}"), F.lit(0))).alias(out) for out in values],
+        # Either part is null while it has seen only nulls.
+        *[F.coalesce(F.col(out) + F.col(f"__{out}"), out, f"__{out}").alias(out) for out in values],
     )
 
 
