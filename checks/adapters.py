@@ -6,6 +6,7 @@ The SQL text of an adapter runs unchanged on both engines.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ["orders", "customer", "nation", "lineitem", "supplier", "documents", "labels", "embeddings", "part"]
 
@@ -47,7 +48,7 @@ SELECT DISTINCT season_start_year, element AS id, element_type FROM {details}
 """
 
 SCORED = """
-SELECT d.doc_id, l.quality AS y, CAST((d.n_chars * 31 + d.doc_id * 17) % 101 AS DOUBLE) / 101 AS p
+SELECT d.doc_id, CASE WHEN d.lang = 'en' THEN 'train' ELSE 'validation' END AS split, l.quality AS y, CAST((d.n_chars * 31 + d.doc_id * 17) % 101 AS DOUBLE) / 101 AS p
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
 """
 
@@ -140,5 +141,12 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return _run(spark, sf, SCORED)
 
 
+def numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings as one column per dimension, with a 0/1 label."""
+    vectors = table(spark, sf, "embeddings")
+    entries = [F.get("embedding", i).cast("double").alias(f"e_{i:02d}") for i in range(64)]
+    return vectors.select("vec_id", (F.col("label") % 2).alias("y"), *entries)
+
+
 def factors(spark: SparkSession, sf: str) -> DataFrame:
     return _run(spark, sf, FACTORS)
