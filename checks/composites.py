@@ -59,7 +59,7 @@ def form_sql(n: int, scope: str, side: str, source: str, next_id: str, rounding:
 @query("k3_overall_form", a.with_ctes("team_games") + form_sql(5, "overall", "home", "team_games", "next_id"))
 def k3(spark: Spark, sf: str) -> DataFrame:
     games = a.games(spark, sf)
-    layout = games_plan.team_layout(games)
+    layout, _ = games_plan.team_layouts(games)
     home, _ = form.overall_form(games_plan.team_games(games, layout), 5, layout)
     return rounded(home)
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from checks import adapters as a
 from checks.composites import feature_data
 from checks.registry import query, r6, rounded
-from touchline.functions.scalar import bin_index
 from touchline.ml import explain, metrics, models, outcomes, preprocess, search, significance
 from touchline.ml.models import LABEL
 from touchline.ml.split import split
@@ -73,10 +72,8 @@ UNION ALL SELECT 'discount', CAST(GREATEST(1, LEN(LIST_FILTER(edges, lambda e: e
 def m2(spark: Spark, sf: str) -> DataFrame:
     factors = a.factors(spark, sf)
     edges = {r.feature: r.edges for r in quantile_edges(factors, ["price", "discount"]).collect()}
-    binned = factors.withColumns({
-        c: bin_index(F.col(c), F.array(*[F.lit(e) for e in found])) for c, found in edges.items()
-    })
-    return rounded(significance.anova_oneway(binned, ["flag", "few", "price", "discount"], "y"))
+    by_level = significance.anova_oneway(factors, ["flag", "few"], "y")
+    return rounded(by_level.unionByName(significance.anova_binned(factors, edges, "y")))
 
 
 @query(
@@ -221,7 +218,7 @@ def _search(spark: Spark, sf: str) -> DataFrame:
     plan = preprocess.build_preprocessor(rows, [], NUMBER_FAMILIES, exclude=("vec_id", "y", "fold"))
     drawn = models.candidates(models.GRIDS["Logistic Regression"], 3)
     small = [{**c, "maxIter": 50} for c in drawn]
-    return search.search("Logistic Regression", small, rows, "y", plan.fit)
+    return search.search("Logistic Regression", small, search.prepare_folds(rows, "y", plan.fit))
 
 
 @query("m13_parameter_search")

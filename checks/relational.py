@@ -302,7 +302,7 @@ def a9(spark: Spark, sf: str) -> DataFrame:
 
 def _rows(spark: Spark, sf: str) -> tuple[DataFrame, ordered.GroupLayout]:
     games = a.games(spark, sf)
-    return games_plan.team_rows(games), games_plan.team_layout(games)
+    return games_plan.team_rows(games), games_plan.team_layouts(games)[0]
 
 
 TEAM_WINDOW = "PARTITION BY season_start_year, team_id_season ORDER BY kickoff, id"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.quantiles import exact_quantiles, long_form
-from touchline.operators.relational import cols_like
+from touchline.operators.quantiles import exact_quantiles, known_numbers
+from touchline.operators.relational import cols_like, long_form, with_names
+from touchline.session import in_threads
 
 FEATURES = "features"
 COMPONENTS = 5
@@ -45,32 +47,53 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     if not columns:
         return {}
     best = (
-        df.select(*columns).unpivot([], list(columns), "feature", "value").filter(F.col("value").isNotNull())
-        .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+        long_form(df, columns, "string").filter(F.col("x").isNotNull())
+        .groupBy("feature_no", "x").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("feature_no").agg(F.min_by("x", F.struct(-F.col("n"), F.col("x"))).alias("mode"))
     )
-    return {r.feature: r["mode"] for r in best.collect()}
+    return {r.feature: r["mode"] for r in with_names(best, columns).collect()}
 
 
 def impute_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.fillna(modes(df, columns), subset=list(columns))
 
 
-def scales(df: DataFrame, columns: Sequence[str], fill: Mapping[str, float]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column after filling; a constant column gets deviation 1."""
+def scales(
+    df: DataFrame, columns: Sequence[str], fill: Mapping[str, float] | None = None
+) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation per column, as they are after filling where ``fill`` is given.
+
+    Filled values enter by their number, so the rows are not rewritten. A constant column gets
+    deviation 1, a column without values is left out.
+    """
     if not columns:
         return {}
-    filled = df.select([F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) for c in columns])
-    rows = long_form(filled, columns).groupBy("feature").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
-    return {r.feature: (r.m, r.s if r.s > 0 else 1.0) for r in rows}
+    stats = (
+        long_form(df, columns).groupBy("feature_no")
+        .agg(
+            F.count("x").alias("n"), F.count_if(F.col("x").isNull()).alias("gaps"),
+            F.avg("x").alias("m"), F.var_pop("x").alias("v"),
+        )
+        .collect()
+    )
+    found = {}
+    for row in stats:
+        name = columns[row.feature_no]
+        if not row.n:
+            continue
+        center, spread = row.m, row.v
+        if fill and row.gaps:
+            center = (row.n * row.m + row.gaps * fill[name]) / (row.n + row.gaps)
+            known, filled = row.n * (row.v + (row.m - center) ** 2), row.gaps * (fill[name] - center) ** 2
+            spread = (known + filled) / (row.n + row.gaps)
+        found[name] = (center, math.sqrt(spread) if spread > 0 else 1.0)
+    return {c: found[c] for c in columns if c in found}
 
 
 def standardise(df: DataFrame, columns: Sequence[str], prefix: str = "z_") -> DataFrame:
     """Append ``(x - mean) / population deviation``; nulls stay null."""
-    rows = long_form(df, columns).groupBy("feature").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
-    found = {r.feature: (r.m, r.s if r.s > 0 else 1.0) for r in rows}
     return df.select("*", *[
-        ((F.col(c) - F.lit(found[c][0])) / F.lit(found[c][1])).alias(prefix + c) for c in columns if c in found
+        ((F.col(c) - F.lit(m)) / F.lit(s)).alias(prefix + c) for c, (m, s) in scales(df, columns).items()
     ])
 
 
@@ -131,11 +154,13 @@ class Preprocessor:
 
         stages: list = [scaling]
         inputs = [f"z_{c}" for c in self.numeric if c in fill]
-        for name, members in self.families.items():
-            block = [f"z_{c}" for c in members if c in fill]
-            if block:
-                stages += pca_block(scaled, block, name, self.components)
-                inputs.append(f"{name}_pca")
+        blocks = [(n, [f"z_{c}" for c in members if c in fill]) for n, members in self.families.items()]
+        blocks = [(name, block) for name, block in blocks if block]
+        for (name, _), fitted in zip(blocks, in_threads(
+            df.sparkSession, lambda b: pca_block(scaled, b[1], b[0], self.components), blocks
+        ), strict=True):
+            stages += fitted
+            inputs.append(f"{name}_pca")
         hot = one_hot(scaled, [f"m_{c}" for c in modal])
         stages += hot
         inputs += [f"m_{c}_hot" for c in modal]
@@ -172,10 +197,6 @@ def build_preprocessor(
     )
 
 
-def features_only(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return model.transform(df).select(*keep, FEATURES)
-
-
 def feature_names(df: DataFrame, column: str = FEATURES) -> list[str]:
     """Names of the vector's entries, in order, from the column's metadata."""
     groups = df.schema[column].metadata["ml_attr"]["attrs"].values()

@@ -165,6 +165,15 @@ def measure_layout(
     )
 
 
+def measure_within(
+    df: DataFrame, outer: GroupLayout, keys: Sequence[str], order: Sequence[str], rows_per_block: int | None = None
+) -> GroupLayout:
+    """Layout of groups that lie inside the groups of ``outer``; measured only where those were cut."""
+    if outer.bounds is None:
+        return GroupLayout(tuple(keys), tuple(order))
+    return measure_layout(df, keys, order, rows_per_block)
+
+
 def _borrow(placed: DataFrame, layout: GroupLayout, count: int, later: bool) -> DataFrame:
     """For every block, the ``count`` rows of its group just before (or after) the block.
 

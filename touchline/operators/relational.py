@@ -139,14 +139,26 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def long_form(df: DataFrame, columns: Sequence[str], kind: str = "double", keep: Sequence[str] = ()) -> DataFrame:
+    """Every column value as a row: ``(keep..., feature_no, x)``; ``feature_no`` counts from 0.
+
+    For aggregates over hundreds of columns. One array per row is exploded, which stays compact where
+    an unpivot would plan one projection per column; grouping by number keeps the keys small.
+    """
+    values = F.array(*[F.col(c).cast(kind) for c in columns])
+    return df.select(*keep, F.posexplode(values).alias("feature_no", "x"))
+
+
+def with_names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace ``feature_no`` by the column name as ``feature``."""
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("feature_no"))
+    return df.select(name.alias("feature"), *[F.col(c) for c in df.columns if c != "feature_no"])
+
+
 def n_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact number of distinct values per column, null counted as a value: ``(feature, n_values)``."""
-    as_text = df.select([F.col(c).cast("string").alias(c) for c in columns])
-    return (
-        as_text.unpivot([], list(columns), "feature", "value")
-        .groupBy("feature", "value").agg(F.count(F.lit(1)))
-        .groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
-    )
+    values = long_form(df, columns, "string").distinct()
+    return with_names(values.groupBy("feature_no").agg(F.count(F.lit(1)).alias("n_values")), columns)
 
 
 def top_k(df: DataFrame, by: str, k: int, tiebreak: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.scalar import flag
-from touchline.operators.ordered import GroupLayout, lead_by, measure_layout
+from touchline.operators.ordered import GroupLayout, lead_by, measure_layout, measure_within
 
 TEAM = ["season_start_year", "team_id_season"]
 PLAYED_ORDER = ["kickoff", "id"]
@@ -63,9 +63,14 @@ def team_rows(games: DataFrame) -> DataFrame:
     return games.select(*kept, F.inline(both))
 
 
-def team_layout(games: DataFrame) -> GroupLayout:
-    """Measured groups of (season, team) in playing order; shared by everything built on team rows."""
-    return measure_layout(team_rows(games), TEAM, PLAYED_ORDER)
+def team_layouts(games: DataFrame) -> tuple[GroupLayout, GroupLayout]:
+    """Measured groups of (season, team) and of team alone, in playing order.
+
+    Shared by everything built on team rows. Usually one count by team shows that nothing needs a cut.
+    """
+    rows = team_rows(games)
+    by_team = measure_layout(rows, TEAM[1:], [TEAM[0], *PLAYED_ORDER])
+    return measure_within(rows, by_team, TEAM, PLAYED_ORDER), by_team
 
 
 def team_games(games: DataFrame, layout: GroupLayout | None = None) -> DataFrame:
