@@ -211,13 +211,7 @@ def _stats_views() -> dict[str, str]:
 STATS_VIEWS = {**PLAYER_VIEWS, **_stats_views()}
 STAT_NAMES = [
     prefix + f
-    for prefix, _, columns in (
-        (lambda names: [
-            ("max_all_", None, names),
-            ("max_g_", None, [f for f in names if any(t in f for t in players_plan.GOALKEEPER_TERMS)]),
-            *[(f"max_{p}_", None, [f for f in names if not any(t in f for t in players_plan.GOALKEEPER_TERMS)]) for p in "dmf"],
-        ])([*players_plan.rolling_names(6)[0], *players_plan.rolling_names(6)[1]])
-    )
+    for prefix, _, columns in players_plan.position_blocks([n for names in players_plan.rolling_names(6) for n in names])
     for f in columns
 ]
 

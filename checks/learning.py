@@ -14,7 +14,10 @@ from touchline.ml import explain, metrics, models, outcomes, preprocess, search,
 from touchline.ml.models import LABEL
 from touchline.ml.split import split
 from touchline.operators.quantiles import QUINTILES, quantile_edges
+from touchline.operators.relational import join_on
 from touchline.plans import training
+from touchline.plans.form import overall_form
+from touchline.plans.games import games_base, team_games, team_layouts
 from touchline.session import scratch_path
 from touchline.sources.snapshots import load_model, read_snapshot, save_model, write_snapshot
 
@@ -87,17 +90,9 @@ def m3(spark: Spark, sf: str) -> DataFrame:
     return rounded(significance.f_regression(a.factors(spark, sf), ["few", "quantity", "discount"], "y"))
 
 
-def stored_features(spark: Spark, sf: str) -> DataFrame:
-    """The feature table, written once and read back, as the training stage uses it."""
-    root = scratch_path(spark, "features")
-    write_snapshot(feature_data(spark, sf), root, "data")
-    return read_snapshot(spark, root, "data")
-
-
 @query("m4_feature_selection")
 def m4(spark: Spark, sf: str) -> DataFrame:
-    data = training.numeric_text(stored_features(spark, sf))
-    selected, tests = significance.select_features(data, "label_1", preprocess.NOT_FEATURES)
+    selected, tests = significance.select_features(a.factors(spark, sf), "y", exclude=[])
     return tests.withColumn("selected", F.col("feature").isin(selected))
 
 
@@ -386,9 +381,9 @@ CHECK_GRIDS = {
 }
 
 
-def _trained(spark: Spark, sf: str, labels: list[str]) -> tuple[str, DataFrame]:
-    root = scratch_path(spark, "training")
-    write_snapshot(feature_data(spark, sf), root, "data")
+def _train(data: DataFrame, labels: list[str]) -> tuple[str, DataFrame]:
+    spark, root = data.sparkSession, scratch_path(data.sparkSession, "training")
+    write_snapshot(data, root, "data")
     training.write_splits(read_snapshot(spark, root, "data"), root)
     parts = [read_snapshot(spark, root, name) for name in ("train", "test", "validation")]
     for label in labels:
@@ -398,10 +393,16 @@ def _trained(spark: Spark, sf: str, labels: list[str]) -> tuple[str, DataFrame]:
 
 @query("k15_train")
 def k15(spark: Spark, sf: str) -> DataFrame:
-    return _trained(spark, sf, ["label_1"])[1]
+    return _train(feature_data(spark, sf), ["label_1"])[1]
 
 
 @query("k16_score")
 def k16(spark: Spark, sf: str) -> DataFrame:
-    root, _ = _trained(spark, sf, ["label_1", "label_X", "label_2"])
+    """Three models on the form features, then the next games scored with the best algorithm."""
+    games = a.games(spark, sf)
+    layout, _ = team_layouts(games)
+    data = games_base(games)
+    for view, team in zip(overall_form(team_games(games, layout), 5, layout), ("team_h", "team_a"), strict=True):
+        data = join_on(data, view, [("season_start_year", "season_start_year"), (team, "team_id_season"), ("id", "next_id")])
+    root, _ = _train(data, ["label_1", "label_X", "label_2"])
     return training.score(spark, root, read_snapshot(spark, root, "score"))

@@ -117,6 +117,12 @@ def rows_per_block_setting(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_BLOCK_CONF, str(DEFAULT_ROWS_PER_BLOCK)))
 
 
+def has_large_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Whether a group has more rows than a task should sort (``rows_per_block``)."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return not sizes.filter(F.col("rows") > (limit or rows_per_block_setting(df))).isEmpty()
+
+
 def measure_layout(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int | None = None
 ) -> GroupLayout:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.ordered import first_per, same_keys
+from touchline.operators.ordered import first_per, has_large_group, same_keys
 
 MAX_LITERAL_LIST = 1_000
 
@@ -77,12 +77,20 @@ def semi_join(df: DataFrame, ids: DataFrame, on: str | Sequence[str]) -> DataFra
     return df.join(ids, on, "left_semi")
 
 
-def with_group_agg(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
+def with_group_agg(
+    df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], large_groups: bool | None = None
+) -> DataFrame:
     """Put group aggregates on every row; null keys form a group.
 
-    Aggregated before the shuffle and joined back, so a huge group is combined map-side and its rows
-    can be divided among tasks by the adaptive skew join; a window would need them in one task.
+    A window does it in one shuffle, but holds a group in one task. Where a group is larger than
+    that (counted, unless the caller knows) the aggregate, combined before its shuffle, is joined
+    back, and the adaptive skew join can divide the large groups among tasks.
     """
+    if large_groups is None:
+        large_groups = has_large_group(df, keys)
+    if not large_groups:
+        group = Window.partitionBy(*keys)
+        return df.select("*", *[a.over(group).alias(out) for out, a in aggregates.items()])
     groups = df.groupBy(*keys).agg(*[a.alias(out) for out, a in aggregates.items()])
     groups = groups.withColumnsRenamed({k: f"__{k}" for k in keys})
     joined = df.join(groups, same_keys(df, groups, [(k, f"__{k}") for k in keys]), "left")
@@ -112,6 +120,35 @@ def group_max_if(
     return without_null_keys(df, keys).groupBy(*keys).agg(*aggregates)
 
 
+def group_max_by(
+    df: DataFrame, keys: Sequence[str], category: str, blocks: Sequence[tuple[str, str | None, Sequence[str]]]
+) -> DataFrame:
+    """Many maxima per category value: ``(prefix, value, columns)`` per block, None for all rows.
+
+    For wide results. Each column is maximised once per (keys, value), a narrow aggregate that stays
+    compiled; a second one puts the few rows of a key side by side. One aggregate with a conditional
+    maximum per result column grows beyond what the JVM compiles and ran six times longer.
+    """
+    columns = list(dict.fromkeys(c for _, _, block in blocks for c in block))
+    values = list(dict.fromkeys(v for _, v, _ in blocks if v is not None))
+    label = F.when(F.col(category).isin(values), F.col(category)).alias("__label")
+    by_value = without_null_keys(df, keys).groupBy(*keys, label).agg(*[F.max(c).alias(c) for c in columns])
+
+    row = F.struct(*columns)
+    sides = {v: f"__{i}" for i, v in enumerate(values)}
+    wide = by_value.groupBy(*keys).agg(
+        *[F.max_by(row, F.when(F.col("__label") == v, 1)).alias(side) for v, side in sides.items()],
+        F.max_by(row, F.when(F.col("__label").isNull(), 1)).alias("__rest"),
+    )
+    everyone = [*sides.values(), "__rest"]
+    return wide.select(*keys, *[
+        (F.greatest(*[F.col(f"{s}.{c}") for s in everyone]) if value is None else F.col(f"{sides[value]}.{c}"))
+        .alias(prefix + c)
+        for prefix, value, block in blocks
+        for c in block
+    ])
+
+
 def attach_rank_values(
     df: DataFrame, by: Sequence[str], rank: str, value: str, ranks: Mapping[str, int]
 ) -> DataFrame:
