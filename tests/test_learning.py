@@ -29,7 +29,8 @@ def test_bracketed_quantiles_are_exact(spark, numbers, accuracy):
     local = numbers.toPandas()
     for c in ("a", "b", "few"):
         assert np.allclose(found[c], np.nanquantile(local[c].astype(float), probs))
-    assert found == pytest.approx(exact_quantiles(numbers, ["a", "b", "few"], probs))
+    direct = exact_quantiles(numbers, ["a", "b", "few"], probs)
+    assert all(np.allclose(found[c], direct[c]) for c in direct)
 
 
 def test_quantiles_of_a_mostly_constant_column(spark):
