@@ -181,9 +181,10 @@ SELECT *, minutes / NULLIF(SUM(minutes) OVER (PARTITION BY season_start_year, te
     + f"SELECT season_start_year, player_id, fixture, position, {_rounded_sql(IMPACT_NAMES)} FROM impacts",
 )
 def k7(spark: Spark, sf: str) -> DataFrame:
-    played = players_plan.player_games(a.details(spark, sf), a.info(spark, sf), _team_games(spark, sf))
+    details = a.details(spark, sf)
+    played = players_plan.player_games(details, a.info(spark, sf), _team_games(spark, sf))
     return rounded(
-        players_plan.player_measures(played).select(
+        players_plan.player_measures(played, players_plan.large_games(details)).select(
             "season_start_year", "player_id", "fixture", "position", *IMPACT_NAMES
         )
     )
