@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from touchline.operators.quantiles import exact_quantiles
 from touchline.operators.relational import cols_like, long_form, with_names
-from touchline.session import in_threads
 
 FEATURES = "features"
 COMPONENTS = 5
@@ -156,10 +155,8 @@ class Preprocessor:
         inputs = [f"z_{c}" for c in self.numeric if c in fill]
         blocks = [(n, [f"z_{c}" for c in members if c in fill]) for n, members in self.families.items()]
         blocks = [(name, block) for name, block in blocks if block]
-        for (name, _), fitted in zip(blocks, in_threads(
-            df.sparkSession, lambda b: pca_block(scaled, b[1], b[0], self.components), blocks
-        ), strict=True):
-            stages += fitted
+        for name, block in blocks:
+            stages += pca_block(scaled, block, name, self.components)
             inputs.append(f"{name}_pca")
         hot = one_hot(scaled, [f"m_{c}" for c in modal])
         stages += hot
