@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
+from touchline.llm.packing import pack_documents
+from touchline.llm.token_files import read_token_files, write_token_files
+from touchline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,3 +72,15 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_packing")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_token_files(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path, with_ids=False)
