@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
+from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.packing import pack_documents
+from touchline.llm.sharding import assign_shards
 from touchline.llm.token_files import read_token_files, write_token_files
 from touchline.session import scratch_path
 
@@ -84,3 +86,17 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_token_files(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(spark, path, with_ids=False)
+
+
+@query("op4_hilbert_shards")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return assign_shards(table(spark, sf, "documents"), ["lang", "source", "text"])
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = F.coalesce(bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    profiles = learn_profiles(docs.filter(~held_out))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return identify(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")

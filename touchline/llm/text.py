@@ -115,9 +115,3 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         out = out * np.uint64(_BASE) + hashes[k:k + n]
     return mix(out + np.uint64(size))
 
-
-def crc32_mod(column, modulus: int):
-    """crc32 of a column as text, modulo; null gives null."""
-    from pyspark.sql import functions as F
-
-    return F.crc32(column.cast("string").cast("binary")) % modulus
