@@ -48,10 +48,12 @@ def duplicate_groups(
         state = state.withColumn("digit", F.substring("rest", 1, width))
         groups = state.groupBy(*keys).agg(
             F.max(F.struct("id", "tie")).alias("best"), F.count(F.lit(1)).alias("group_size")
-        ).filter("group_size > 1")
+        ).filter("group_size > 1").select(F.struct(*keys).alias("key"), "best", "group_size")
+        # joined by the whole key and not by its fields, so both sides are shuffled for the join, which
+        # then may be split where a group is large; on the fields it would run inside the aggregate's tasks
         past += width
         open_ = F.col("best").isNotNull() & (F.col("size") > past)
-        joined = state.join(groups, keys, "left").select(
+        joined = state.withColumn("key", F.struct(*keys)).join(groups, "key", "left").select(
             "carry", "id", "tie", "size", F.coalesce("best.tie", "tie").alias("above"),
             F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
             F.coalesce("group_size", F.lit(1)).alias("group_size"), open_.alias("open"),
