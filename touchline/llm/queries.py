@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
 from touchline.llm.language import bucket, identify, learn_profiles
+from touchline.llm.licenses import licenses_sql, scan_licenses
 from touchline.llm.packing import pack_documents
 from touchline.llm.sharding import assign_shards
 from touchline.llm.token_files import read_token_files, write_token_files
@@ -100,3 +101,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     profiles = learn_profiles(docs.filter(~held_out))
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     return identify(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_license_scan", licenses_sql())
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(table(spark, sf, "documents"))
