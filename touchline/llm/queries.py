@@ -12,6 +12,7 @@ from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
 from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.licenses import licenses_sql, scan_licenses
+from touchline.llm.line_dedup import SHORTEST, THRESHOLD, line_report
 from touchline.llm.packing import pack_documents
 from touchline.llm.sharding import assign_shards
 from touchline.llm.token_files import read_token_files, write_token_files
@@ -106,3 +107,21 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_license_scan", licenses_sql())
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return scan_licenses(table(spark, sf, "documents"))
+
+
+@query("op6_line_dedup", f"""
+WITH l AS (SELECT doc_id, i, s[i] AS line FROM (
+  SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)) WHERE s[i] <> ''),
+c AS (SELECT line, length(line) AS n, min({{'d': doc_id, 'i': i}}) AS f FROM l GROUP BY line),
+p AS (SELECT a.line, b.f AS other FROM c a JOIN c b ON b.n BETWEEN a.n - {THRESHOLD} AND a.n + {THRESHOLD} AND a.line <> b.line
+      AND a.n >= {SHORTEST} AND b.n >= {SHORTEST} AND levenshtein(a.line, b.line) <= {THRESHOLD}),
+k AS (SELECT line, count(*) AS links, min(other) AS earliest FROM p GROUP BY line),
+j AS (SELECT c.f.d AS doc_id, coalesce(links, 0) AS links, earliest IS NULL OR c.f < earliest AS kept FROM c LEFT JOIN k USING (line)),
+h AS (SELECT doc_id, sum(links) AS n_links, count(*) FILTER (WHERE kept) AS n_kept FROM j GROUP BY doc_id),
+o AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id)
+SELECT DISTINCT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+       CAST(coalesce(n, 0) - coalesce(n_kept, 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN o USING (doc_id) LEFT JOIN h USING (doc_id)
+""")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return line_report(table(spark, sf, "documents"))
