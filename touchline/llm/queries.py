@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
+from touchline.llm.hmm import score_documents
 from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.licenses import licenses_sql, scan_licenses
 from touchline.llm.line_dedup import SHORTEST, THRESHOLD, line_report
@@ -125,3 +126,8 @@ FROM documents d LEFT JOIN o USING (doc_id) LEFT JOIN h USING (doc_id)
 """)
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return line_report(table(spark, sf, "documents"))
+
+
+@query("op10_hidden_markov")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"), bucket(F.col("doc_id"), 7) == 2)
