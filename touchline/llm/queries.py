@@ -14,6 +14,7 @@ from touchline.llm.hmm import score_documents
 from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.licenses import licenses_sql, scan_licenses
 from touchline.llm.line_dedup import SHORTEST, THRESHOLD, line_report
+from touchline.llm.minhash import near_duplicates
 from touchline.llm.packing import pack_documents
 from touchline.llm.sharding import assign_shards
 from touchline.llm.token_files import read_token_files, write_token_files
@@ -131,3 +132,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_hidden_markov")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return score_documents(table(spark, sf, "documents"), bucket(F.col("doc_id"), 7) == 2)
+
+
+@query("op1_minhash")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"), words=2)
