@@ -71,3 +71,9 @@ def duplicate_groups(
     for more in done[1:]:
         out = out.unionByName(more)
     return out.select("carry.*", "keep_id", "group_size", (F.col("tie") == F.col("above")).alias("kept"))
+
+
+def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, as they are: of equal texts the one with the largest id."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return duplicate_groups(docs, [row], id_column, text_column).filter("kept").select("row.*")
