@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from checks import adapters as a
 from checks.registry import query, r6, rounded
 from touchline.operators.relational import union_by_name
+from touchline.plans import landing
 from touchline.plans.refresh import refresh
 from touchline.session import scratch_path
 from touchline.sources import landed, seasons, snapshots
@@ -82,11 +83,41 @@ def s3(spark: Spark, sf: str) -> DataFrame:
     return landed.read_player_ids(spark, land_elements(spark, sf), multi_line=False)
 
 
+@query("s3_player_ids_by_name", f"SELECT * FROM ({NAMES_SQL}) WHERE id % 3 = 1 AND playername IS NOT NULL")
+def s3_by_name(spark: Spark, sf: str) -> DataFrame:
+    """The names asked for, as a user has them: a list."""
+    names = [r.n for r in a.table(spark, sf, "supplier").filter("s_suppkey % 3 = 1 and s_nationkey != 3")
+             .select(F.concat_ws(" ", "s_name", "s_nationkey").alias("n")).collect()]
+    return landed.read_player_ids(spark, land_elements(spark, sf), names=names, multi_line=False)
+
+
 @query("s4_player_names", NAMES_SQL)
 def s4(spark: Spark, sf: str) -> DataFrame:
     return landed.read_player_names(spark, land_elements(spark, sf), multi_line=False)
 
 
+@query("s4_player_names_by_id", f"SELECT * FROM ({NAMES_SQL}) WHERE id % 4 = 2")
+def s4_by_id(spark: Spark, sf: str) -> DataFrame:
+    ids = [r.s_suppkey for r in a.table(spark, sf, "supplier").filter("s_suppkey % 4 = 2").select("s_suppkey").collect()]
+    return landed.read_player_names(spark, land_elements(spark, sf), ids=ids, multi_line=False)
+
+
+def land_season(rows: DataFrame, table: str, season: int) -> str:
+    """An archived season as CSV below a fresh root; returns the root."""
+    root = scratch_path(rows.sparkSession, "archive")
+    rows.write.option("header", True).csv(f"{root}/{table}/season={season}")
+    return root
+
+
+@query("s5_player_info_archived", f"""WITH n AS ({NAMES_SQL}) SELECT s_suppkey AS id, s_name AS first_name,
+       CAST(1 + s_suppkey % 5 AS INT) AS element_type, playername FROM supplier JOIN n ON s_suppkey = id WHERE s_suppkey % 2 = 0 AND playername IS NOT NULL""")
+def s5_archived(spark: Spark, sf: str) -> DataFrame:
+    """An archived season, and of it the players with certain names."""
+    players = landed.read_player_info(spark, land_elements(spark, sf), multi_line=False).select("id", "first_name", "element_type", "playername")
+    names = [r.playername for r in players.filter("id % 2 = 0 and playername is not null").select("playername").collect()]
+    return landed.read_player_info(spark, land_season(players, "player_info", 19), names=names, season=19)
+
+
 @query(
     "s5_player_info",
     f"""WITH n AS ({NAMES_SQL}) SELECT s_suppkey AS id, s_name AS first_name, CASE WHEN s_nationkey <> 3 THEN CAST(s_nationkey AS VARCHAR) END AS second_name,
@@ -145,6 +176,52 @@ def s8(spark: Spark, sf: str) -> DataFrame:
     return landed.read_rounds(spark, path, multi_line=False)
 
 
+@query(
+    "s2_fixtures_archived",
+    a.with_ctes("games") + """SELECT GW, id, home, team_h, away, team_a, finished, CAST(kickoff AS DATE) AS kickoff_date, team_h_score, team_a_score
+FROM games WHERE season_start_year = 1997""",
+)
+def s2_archived(spark: Spark, sf: str) -> DataFrame:
+    rows = a.games(spark, sf).filter("season_start_year = 1997").select(
+        *[c for c in landed.GAMES.fieldNames() if c != "kickoff"], F.date_format("kickoff", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("kickoff"))
+    games = landed.read_fixtures(spark, land_season(rows, "games", 1997), season=1997)
+    return games.withColumn("kickoff_date", F.to_date("kickoff")).drop("kickoff")
+
+
+@query(
+    "s7_player_details_archived",
+    a.with_ctes("details") + "SELECT element AS playerid, fixture, minutes, goals_scored FROM details WHERE season_start_year = 1998 AND element % 5 = 3",
+)
+def s7_archived(spark: Spark, sf: str) -> DataFrame:
+    """An archived season, and of it the players with certain ids."""
+    rows = a.details(spark, sf).filter("season_start_year = 1998").select(F.col("element").alias("playerid"), "fixture", "minutes", "goals_scored")
+    ids = [r.s_suppkey for r in a.table(spark, sf, "supplier").filter("s_suppkey % 5 = 3").select("s_suppkey").collect()]
+    return landed.read_player_details(spark, land_season(rows, "player_details", 1998), ids=ids, season=1998)
+
+
+@query(
+    "s7_player_details_by_name",
+    a.with_ctes("details", extra={"n": NAMES_SQL}) + """SELECT element, fixture, minutes, playername FROM details JOIN n ON element = id
+WHERE element % 6 = 2 AND playername IS NOT NULL""",
+)
+def s7_by_name(spark: Spark, sf: str) -> DataFrame:
+    path = land(a.details(spark, sf), "history", chunk_of("fixture"), ["element", "fixture", "minutes"], "history", "element")
+    players = landed.read_player_ids(spark, land_elements(spark, sf), multi_line=False)
+    names = [r.playername for r in players.filter("id % 6 = 2 and playername is not null").select("playername").collect()]
+    return landed.read_player_details(spark, path, players, names=names, multi_line=False).select("element", "fixture", "minutes", "playername")
+
+
+@query(
+    "s8_rounds_archived",
+    a.with_ctes("games") + """SELECT GW AS id, BOOL_AND(finished) AS finished, STRFTIME(MIN(kickoff), '%Y-%m-%d') AS deadline_time
+FROM games WHERE season_start_year = 1996 AND GW IN (3, 9, 30) GROUP BY GW""",
+)
+def s8_archived(spark: Spark, sf: str) -> DataFrame:
+    events = a.games(spark, sf).filter("season_start_year = 1996").groupBy(F.col("GW").alias("id")).agg(
+        F.bool_and("finished").alias("finished"), F.date_format(F.min("kickoff"), "yyyy-MM-dd").alias("deadline_time"))
+    return landed.read_rounds(spark, land_season(events, "rounds", 1996), rounds=[3, 9, 30], season=1996)
+
+
 GAME_CSV = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("team_h", T.LongType()), T.StructField("home", T.StringType()),
     T.StructField("kickoff", T.TimestampNTZType()), T.StructField("finished", T.BooleanType()),
@@ -183,6 +260,41 @@ def s10(spark: Spark, sf: str) -> DataFrame:
     return seasons.load_seasons(current, years[-1], reader, [years[0] - 1, *years[:-1]]).select(*CSV_COLUMNS, "season_start_year")
 
 
+@query("s9_columns_by_name", a.with_ctes("games") + "SELECT id, team_h, home, finished FROM games")
+def s9_by_name(spark: Spark, sf: str) -> DataFrame:
+    """One season whose files have their columns in different orders."""
+    root = scratch_path(spark, "archive")
+    games = a.games(spark, sf).select("id", "team_h", "home", "finished")
+    for part, columns in ((0, ["id", "team_h", "home", "finished"]), (1, ["team_h", "finished", "id", "home"])):
+        rows = games.filter(F.col("id") % 2 == part).select(columns)
+        rows.write.mode("append").option("header", True).csv(f"{root}/games/season=20")
+    return seasons.read_season_csv(spark, root, "games", 20, GAME_CSV)
+
+
+@query(
+    "s12_land_twice",
+    a.with_ctes("games") + """, newest AS (SELECT MAX(season_start_year) AS y FROM games)
+SELECT id, season_start_year, team_h, finished, CASE WHEN season_start_year = y THEN COALESCE(team_h_score, -1) ELSE team_h_score END AS team_h_score
+FROM games, newest WHERE season_start_year >= y - 4""",
+)
+def s12_land_twice(spark: Spark, sf: str) -> DataFrame:
+    """Two landed snapshots of the newest season above four archived ones, through the landing driver."""
+    root, years = land_archive(spark, sf)
+    games = a.games(spark, sf).select("id", "team_h", "home", "finished", "team_h_score", "team_a", "season_start_year", "kickoff")
+    now = games.filter(F.col("season_start_year") == years[-1]).drop("season_start_year")
+
+    def archive(season: int) -> DataFrame:
+        rows = seasons.read_season_csv(spark, root, "games", season, GAME_CSV)
+        return rows.join(games.filter(F.col("season_start_year") == season).select("id", "team_a"), "id")
+
+    store = scratch_path(spark, "landing")
+    earlier = range(years[-1] - 4, years[-1])
+    landing.refresh_table(spark, store, "games", now, years[-1], earlier, archive)
+    again = now.withColumn("team_h_score", F.coalesce("team_h_score", F.lit(-1)))
+    landing.refresh_table(spark, store, "games", again, years[-1], earlier, archive)
+    return snapshots.read_snapshot(spark, store, "games").select("id", "season_start_year", "team_h", "finished", "team_h_score")
+
+
 @query("s11_read_snapshot", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def s11(spark: Spark, sf: str) -> DataFrame:
     """Two versions are written; the newest is read."""

@@ -56,6 +56,13 @@ def p7(spark: Spark, sf: str) -> DataFrame:
     return rel.filter_in(customers, "c_mktsegment", ["BUILDING", "MACHINERY"])
 
 
+@query("p7_membership_long_list", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 = 2")
+def p7_long(spark: Spark, sf: str) -> DataFrame:
+    """A list beyond what is written into a filter."""
+    keys = [r.o_orderkey for r in a.table(spark, sf, "orders").filter("o_orderkey % 5 = 2").select("o_orderkey").collect()]
+    return rel.filter_in(a.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", keys)
+
+
 @query("p8_compare_columns", a.with_ctes("games") + "SELECT id, team_h_score, team_a_score FROM games WHERE team_h_score > team_a_score AND team_a_score < team_h")
 def p8(spark: Spark, sf: str) -> DataFrame:
     condition = (F.col("team_h_score") > F.col("team_a_score")) & (F.col("team_a_score") < F.col("team_h"))
@@ -454,6 +461,18 @@ def f3(spark: Spark, sf: str) -> DataFrame:
     return a.table(spark, sf, "events").select("event_id", seconds.alias("seconds"))
 
 
+@query("f3_parse_offsets", "SELECT event_id, CAST(EPOCH(DATE_TRUNC('second', ts)) AS BIGINT) AS seconds FROM events")
+def f3_offsets(spark: Spark, sf: str) -> DataFrame:
+    """Times written with offsets that differ by row."""
+    hours = F.expr("cast(event_id % 25 as int) - 12")
+    local = F.col("ts") + F.make_dt_interval(hours=hours)
+    sign = F.when(hours < 0, "-").otherwise("+")
+    text = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), sign, F.lpad(F.abs(hours).cast("string"), 2, "0"), F.lit(":00"))
+    moment = scalar.utc_timestamp(text)
+    seconds = F.unix_date(F.to_date(moment)) * F.lit(86400).cast("bigint") + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return a.table(spark, sf, "events").select("event_id", seconds.alias("seconds"))
+
+
 @query("f4_date_parts", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS y, CAST(EXTRACT(MONTH FROM o_orderdate) AS INT) AS m, CAST(STRFTIME(o_orderdate, '%y') AS INT) AS yy, STRFTIME(o_orderdate, '%Y-%m-%d') AS text FROM orders")
 def f4(spark: Spark, sf: str) -> DataFrame:
     when = F.col("o_orderdate")

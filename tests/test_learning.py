@@ -25,7 +25,7 @@ def numbers(spark):
 @pytest.mark.parametrize("accuracy", [10_000, 40])
 def test_bracketed_quantiles_are_exact(spark, numbers, accuracy):
     probs = [0.0, 0.2, 0.5, 0.8, 0.95, 1.0]
-    found = exact_quantiles(numbers, ["a", "b", "few"], probs, small_rows=0, accuracy=accuracy)
+    found = exact_quantiles(numbers, ["a", "b", "few"], probs, accuracy=accuracy)
     local = numbers.toPandas()
     for c in ("a", "b", "few"):
         assert np.allclose(found[c], np.nanquantile(local[c].astype(float), probs))
@@ -36,7 +36,7 @@ def test_bracketed_quantiles_are_exact(spark, numbers, accuracy):
 def test_quantiles_of_a_mostly_constant_column(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 0.0).otherwise(F.col("id").cast("double")).alias("x"))
     want = np.quantile(rows.toPandas()["x"], [0.1, 0.5, 0.7, 0.9])
-    assert np.allclose(exact_quantiles(rows, ["x"], [0.1, 0.5, 0.7, 0.9], small_rows=0, accuracy=100)["x"], want)
+    assert np.allclose(exact_quantiles(rows, ["x"], [0.1, 0.5, 0.7, 0.9], accuracy=100)["x"], want)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 5, 17, 4000])

@@ -67,8 +67,7 @@ def test_one_global_group(rows):
 def test_text_order(rows):
     named = rows.withColumn("name", F.concat(F.lit("n"), F.col("id")))
     both(named, ["team"], ["name"], lambda df, lay: lead_by(df, lay, "id", "next_id"))
-    with pytest.raises(ValueError):
-        measure_layout(named, ["team"], ["-name"], 25)
+    both(named, ["team"], ["-name"], lambda df, lay: row_numbers(df, lay, "n"))
 
 
 def test_layout_serves_a_subset(rows):
@@ -101,3 +100,33 @@ def test_first_per_group_is_limited_before_the_shuffle(rows, capsys):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert first.count() == rows.select("team").distinct().count()
+
+
+@pytest.mark.parametrize("limit", [1, 7, 10_000])
+def test_the_limit_changes_no_bit(spark, rows, limit):
+    """NaN, repeated keys, nulls, text and times without zone, in both directions, and sums of doubles."""
+    wide = rows.withColumn("v", F.when(F.col("id") % 13 == 0, F.lit(float("nan"))).when(F.col("id") % 17 == 0, None).otherwise(F.col("v")))
+    wide = wide.withColumns({
+        "t": F.expr("timestamp_ntz'2023-11-05 00:30:00' + make_dt_interval(0, cast(id % 50 as int))"), "d": F.col("id") * 0.1,
+        "s": F.concat(F.lit("k"), F.col("id") % 40),
+    })
+    for order in (["v", "id"], ["-v", "id"], ["-s", "-id"], ["t", "-id"], ["-t", "s", "id"], ["x", "id"]):
+        lay, plain = measure_layout(wide, ["team"], order, limit), GroupLayout(("team",), tuple(order))
+        assert (lay.bounds is None) == (limit == 10_000)
+        got, want = (row_numbers(cumulative(wide, one, {"sum": "d"}), one, "n").select("id", "sum", "n") for one in (lay, plain))
+        assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_a_frequent_key_is_cut_around(spark):
+    """Three key values hold most rows; the cuts fall between them and no list of equal keys is collected."""
+    rows = spark.range(6000).select(F.lit(1).alias("team"), (F.col("id") % 3).alias("k"), "id")
+    cut = measure_layout(rows, ["team"], ["k"], 1000)
+    assert cut.bounds is not None and cut.blocks == 3
+    assert {r["count"] for r in cut.place(rows).groupBy("__block").count().collect()} == {2000}
+
+
+def test_block_tables_may_be_joined_by_shuffle(rows, monkeypatch):
+    from touchline.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_BLOCKS", 0)
+    both(rows, ["team"], ["day", "id"], lambda df, lay: cumulative(df, lay, {"total": "x"}))

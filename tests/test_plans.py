@@ -80,12 +80,11 @@ def test_nobody_played(spark):
     assert [r.hourly_rate_influence for r in rates] == [0.0, 5.0 / 90 * 60, 0.0]
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_group_totals_do_not_depend_on_the_way(spark, large):
+def test_group_totals_with_a_null_key(spark):
     from touchline.operators.relational import with_group_agg
 
     rows = spark.createDataFrame([(1, 2), (1, 3), (None, 4), (None, 5)], "k int, v int")
-    found = with_group_agg(rows, ["k"], {"t": F.sum("v")}, large).orderBy("v").collect()
+    found = with_group_agg(rows, ["k"], {"t": F.sum("v")}).orderBy("v").collect()
     assert [r.t for r in found] == [5, 5, 9, 9]
 
 
@@ -126,3 +125,42 @@ def test_feature_table_has_320_columns(spark):
     assert len(columns) == len(set(columns)) == 320
     assert sum(c.startswith("player_diff_") for c in columns) == 82
     assert sum(c.startswith("tbl_home_") for c in columns) == 13 + 6
+
+
+def test_the_last_of_repeated_keys_stays(spark, tmp_path):
+    """Inside one snapshot, in the order of its document."""
+    import json
+
+    from touchline.sources import landed
+
+    path = tmp_path / "bootstrap.json"
+    items = [{"id": k % 4, "first_name": f"n{k}", "second_name": "x", "element_type": 1} for k in range(40)]
+    path.write_text(json.dumps({"elements": items}))
+    new = landed.read_player_ids(spark, str(path))
+    got = {r.id: r.playername for r in refresh.refresh(None, new, ["id"]).collect()}
+    assert got == {k: f"n{36 + k} x" for k in range(4)}
+    old = spark.createDataFrame([(0, "old"), (9, "a"), (9, "b")], "id bigint, playername string")
+    got = {r.id: r.playername for r in refresh.refresh(old, new, ["id"]).collect()}
+    assert got == {0: "n36 x", 1: "n37 x", 2: "n38 x", 3: "n39 x", 9: "b"}
+
+
+def test_landing_and_building(spark, tmp_path):
+    from touchline.plans import landing
+    from touchline.sources.snapshots import read_snapshot
+
+    root = str(tmp_path)
+    current = table(spark, *[game(k, 1 + k % 20, 1 + k % 2, 2 - k % 2, 1, 0) for k in range(8)]).drop("season_start_year")
+    archived = table(spark, game(1, 3, 1, 2, 0, 0, season=21)).drop("season_start_year")
+
+    def archive(season):
+        if season != 21:
+            return spark.read.csv(str(tmp_path / "none"))
+        return archived
+
+    assert landing.land_all(spark, root, {"games": current}, {"games": archive}) == {"games": 1}
+    assert read_snapshot(spark, root, "games").groupBy("season_start_year").count().orderBy("season_start_year").collect() == [(21, 1), (22, 8)]
+    assert landing.land_all(spark, root, {"games": current.withColumn("GW", F.lit(7))}) == {"games": 2}
+    assert read_snapshot(spark, root, "games").filter("season_start_year = 22 and GW = 7").count() == 8
+    assert read_snapshot(spark, root, "games").filter("season_start_year = 21").count() == 1
+    with pytest.raises(ValueError, match="player_details"):
+        landing.build_data(spark, root)

@@ -98,10 +98,46 @@ def test_incomplete_version_is_ignored(spark, tmp_path):
     assert snapshots.write_snapshot(spark.range(3).toDF("id"), root, "t") == 1
     (tmp_path / "store" / "t" / "version=2").mkdir()
     assert snapshots.read_snapshot(spark, root, "t").count() == 3
-    assert snapshots.write_snapshot(spark.range(4).toDF("id"), root, "t") == 2
+    assert snapshots.write_snapshot(spark.range(4).toDF("id"), root, "t") == 3
     assert snapshots.read_snapshot(spark, root, "t").count() == 4
 
 
+def test_writers_take_different_versions(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    root = str(tmp_path / "store")
+    with ThreadPool(4) as pool:
+        versions = pool.map(lambda k: snapshots.write_snapshot(spark.range(k).toDF("id"), root, "t"), [5, 6, 7, 8])
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert snapshots.read_snapshot(spark, root, "t").count() in (5, 6, 7, 8)
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    folder = tmp_path / "games" / "season=20"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("id,team_h,home\n1,5,A\n")
+    (folder / "b.csv").write_text(",team_h,id,extra\n0,9,3,x\n")
+    rows = landed.read_fixtures(spark, str(tmp_path), season=20).orderBy("id").collect()
+    assert [(r.id, r.team_h, r.home, r.extra) for r in rows] == [(1, 5, "A", None), (3, 9, None, "x")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_in_any_session_zone(spark, zone):
+    from touchline.functions.scalar import utc_timestamp
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = {"2023-11-05T06:30:00Z": "2023-11-05 06:30:00", "2023-03-12T02:30:00": "2023-03-12 02:30:00",
+                 "2023-11-05T01:30:00-05:00": "2023-11-05 06:30:00", "2024-01-01 00:15:00.5+0530": "2023-12-31 18:45:00.500000",
+                 "2023-11-05": "2023-11-05 00:00:00"}
+        table = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = {r.t: str(r.u) for r in table.select("t", utc_timestamp(F.col("t")).alias("u")).collect()}
+        assert got == texts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_results_keep_other_parts(spark, tmp_path):
     root = str(tmp_path)
     one = spark.createDataFrame([("a", 1.0)], "Metric string, `Metric value` double")

@@ -8,15 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: An offset behind a time of day: sign, hours, minutes.
+OFFSET = r"\d:\d\d(?::\d\d(?:\.\d+)?)?\s*([+-])(\d\d):?(\d\d)?$"
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it does not or is null."""
     return F.when(condition, 1).otherwise(0)
 
 
 def utc_timestamp(text: Column) -> Column:
-    """ISO text to the UTC wall-clock time, whatever the session time zone."""
-    local = F.to_timestamp(text).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    """ISO text to the UTC wall-clock time, whatever the session time zone.
+
+    The time is read as it is written and moved by the written offset; Z or no offset is UTC.
+    """
+    part = [F.regexp_extract(text, OFFSET, k) for k in (1, 2, 3)]
+    minutes = F.when(part[1] == "", 0).otherwise(part[1].cast("int") * 60 + F.when(part[2] == "", 0).otherwise(part[2].cast("int")))
+    ahead = F.make_dt_interval(mins=F.when(part[0] == "-", -minutes).otherwise(minutes))
+    return text.cast("timestamp_ntz") - ahead
 
 
 def two_digit_year(moment: Column) -> Column:

@@ -25,7 +25,9 @@ from pyspark.sql import types as T
 ROWS_PER_BLOCK_CONF = "spark.touchline.rowsPerBlock"
 DEFAULT_ROWS_PER_BLOCK = 4_000_000
 SAMPLES_PER_BLOCK = 64
+#: Rows of a block table that may be broadcast; beyond, it is joined by shuffle. The rows are counted first.
 MAX_BROADCAST_BLOCKS = 500_000
+EXACT_DIGITS = 12
 
 BLOCK, BORROWED, EDGE = "__block", "__borrowed", "__edge"
 
@@ -48,35 +50,37 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return reduce(lambda a, b: a & b, (left[a].eqNullSafe(right[b]) for a, b in pairs), F.lit(True))
 
 
-def _sort_key(df: DataFrame, order: Sequence[str]) -> Column:
-    """The sort order as one struct whose natural comparison is that order."""
-    fields = []
-    for i, item in enumerate(order):
-        descending, name = item.startswith("-"), item.lstrip("-")
-        kind, value = df.schema[name].dataType, F.col(name)
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            value = F.unix_micros(value.cast("timestamp"))
-        elif isinstance(kind, T.DateType):
-            value = F.unix_date(value)
-        elif isinstance(kind, T.BooleanType):
-            value = value.cast("int")
-        if descending:
-            if isinstance(kind, T.StringType):
-                raise ValueError(f"descending order on text column {name} is not supported")
-            fractional = isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType))
-            value = -value if fractional else F.bitwise_not(value)
-        fields += [value.isNull().alias(f"null_{i}"), value.alias(f"value_{i}")]
-    return F.struct(*fields)
-
-
-def _count_below(bounds: Column, key: Column, longest: int) -> Column:
-    """How many entries of a sorted array lie below ``key``, by halving steps."""
+def _comes_before(left: Mapping[str, Column], right: Mapping[str, Column], order: Sequence[str]) -> Column:
+    """Whether one row's order values come before another's, by the rules of :func:`sort_columns`.
+
+    Field by field with the columns' own comparison, so text, NaN and times without zone compare as they sort.
+    """
+    before = F.lit(False)
+    for item in reversed(order):
+        name = item.lstrip("-")
+        a, b = left[name], right[name]
+        own = a > b if item.startswith("-") else a < b
+        before = (
+            F.when(a.isNull() & b.isNull(), before).when(a.isNull(), False).when(b.isNull(), True)
+            .when(a == b, before).otherwise(own)
+        )
+    return before
+
+
+def _names(order: Sequence[str]) -> list[str]:
+    return [item.lstrip("-") for item in order]
+
+
+def _blocks_before(cuts: Column, order: Sequence[str], longest: int) -> Column:
+    """How many sorted cuts the row has reached, by halving steps; a cut is the first key of a block."""
     steps = [1 << i for i in reversed(range(longest.bit_length()))]
+    row = {n: F.col(n) for n in _names(order)}
 
     def advance(found: Column, step: Column) -> Column:
         ahead = found + step
-        fits = (ahead <= F.size(bounds)) & (F.get(bounds, ahead - 1) < key)
-        return F.when(fits, ahead).otherwise(found)
+        cut = F.get(cuts, ahead - 1)
+        reached = ~_comes_before(row, {n: cut[f"v{i}"] for i, n in enumerate(_names(order))}, order)
+        return F.when((ahead <= F.size(cuts)) & reached, ahead).otherwise(found)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
@@ -103,9 +107,7 @@ class GroupLayout:
         placed = df.join(
             self._small(bounds), same_keys(df, bounds, [(k, f"__{k}") for k in self.keys]), "left"
         )
-        block = F.when(
-            F.col("__cuts").isNotNull(), _count_below(F.col("__cuts"), _sort_key(df, self.order), self.longest)
-        )
+        block = F.when(F.col("__cuts").isNotNull(), _blocks_before(F.col("__cuts"), self.order, self.longest))
         return placed.select(*[df[c] for c in df.columns], block.alias(BLOCK))
 
     def _small(self, df: DataFrame) -> DataFrame:
@@ -117,20 +119,17 @@ def rows_per_block_setting(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_BLOCK_CONF, str(DEFAULT_ROWS_PER_BLOCK)))
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Whether a group has more rows than a task should sort (``rows_per_block``)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return not sizes.filter(F.col("rows") > (limit or rows_per_block_setting(df))).isEmpty()
-
-
 def measure_layout(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int | None = None
 ) -> GroupLayout:
     """Count the groups and choose cuts for those above ``rows_per_block`` rows.
 
     Runs one aggregation over the key columns. At most ``rows / rows_per_block`` groups come back
-    to the driver, and as many cuts. The cuts are quantiles of a hash sample of the sort keys:
-    the sample decides only how even the blocks are, never which rows are used.
+    to the driver, and as many cuts. For the cuts, the distinct order keys of the large groups are
+    counted; a key enters a sample with a chance in proportion to its rows, and surely if it has as many
+    as one entry stands for. So a frequent key is neither missed nor taken with all its rows, and the sample
+    has about SAMPLES_PER_BLOCK entries for each block. It decides only how even the blocks are,
+    never which rows are used. Rows with equal order keys share a block: a unique order bounds it.
     """
     keys, order = tuple(keys), tuple(order)
     limit = rows_per_block or rows_per_block_setting(df)
@@ -146,28 +145,40 @@ def measure_layout(
         F.greatest(F.lit(1), F.floor(F.col("rows") / (F.ceil(F.col("rows") / limit) * SAMPLES_PER_BLOCK)))
         .cast("bigint").alias("__every"),
     )
-    key = _sort_key(df, order)
-    sample = (
-        df.join(F.broadcast(hot), same_keys(df, hot, [(k, f"__{k}") for k in keys]))
-        .filter(F.pmod(F.xxhash64(key), F.col("__every")) == 0)
-        .groupBy(*keys, "__parts")
-        .agg(F.sort_array(F.collect_list(key)).alias("__sample"))
+    hot = F.broadcast(hot) if len(large) <= MAX_BROADCAST_BLOCKS else hot
+    names = _names(order)
+    values = [F.col(n).alias(f"v{i}") for i, n in enumerate(names)]
+    owners = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    counted = (
+        df.join(hot, same_keys(df, hot, [(k, f"__{k}") for k in keys]))
+        .groupBy(*owners, "__parts", "__every", *values)
+        .agg(F.count(F.lit(1)).alias("__rows"))
     )
-    step = F.size("__sample") / F.col("__parts")
-    picked = F.transform(
-        F.sequence(F.lit(1), F.col("__parts") - 1),
-        lambda i: F.get(F.col("__sample"), F.floor(i * step).cast("int")),
-    )
-    cuts = sample.filter(F.col("__parts") > 1).select(*keys, F.array_distinct(picked).alias("cuts"))
-    rows = cuts.collect()
-    if not rows:
+    own, vs = [f"k{i}" for i in range(len(keys))], [f"v{i}" for i in range(len(names))]
+    chance = F.pmod(F.xxhash64(*vs), F.col("__every"))
+    sample = counted.filter(chance < F.col("__rows")).select(
+        *own, *vs, "__parts", F.greatest("__rows", "__every").alias("__weight"))
+    group = Window.partitionBy(*own)
+    along = group.orderBy(*sort_columns([("-" if o.startswith("-") else "") + v for o, v in zip(order, vs, strict=True)]))
+    before = F.sum("__weight").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__weight")
+    part = F.floor(before * F.col("__parts") / F.sum("__weight").over(group))
+    numbered = sample.select(*own, *vs, part.cast("int").alias("__part"))
+    cut = numbered.withColumn("__last", F.lag("__part", 1, 0).over(along)).filter(F.col("__part") > F.col("__last"))
+    cuts: dict[tuple, list] = {}
+    for row in cut.orderBy(*own, "__part").collect():
+        cuts.setdefault(tuple(row[k] for k in own), []).append(tuple(row[v] for v in vs))
+    if not cuts:
         return GroupLayout(keys, order)
+    schema = T.StructType([
+        *[T.StructField(k, df.schema[k].dataType) for k in keys],
+        T.StructField("cuts", T.ArrayType(T.StructType([T.StructField(v, df.schema[n].dataType) for v, n in zip(vs, names, strict=True)]))),
+    ])
     return GroupLayout(
         keys,
         order,
-        spark.createDataFrame(rows, cuts.schema),
-        max(len(r.cuts) for r in rows),
-        sum(len(r.cuts) + 1 for r in rows),
+        spark.createDataFrame([(*k, c) for k, c in cuts.items()], schema),
+        max(map(len, cuts.values())),
+        sum(len(c) + 1 for c in cuts.values()),
     )
 
 
@@ -300,8 +311,18 @@ def diff_neighbour(df: DataFrame, layout: GroupLayout, columns: Mapping[str, tup
 
 
 def cumulative(df: DataFrame, layout: GroupLayout, sums: Mapping[str, str | Column]) -> DataFrame:
-    """Running totals in group order, ``out -> column``."""
+    """Running totals in group order, ``out -> column``.
+
+    Sums of floating-point numbers depend on the order of adding, which cuts change. They are added
+    as decimals with EXACT_DIGITS digits behind the point, below 10^26, so any order gives the same.
+    """
     values = {out: F.col(c) if isinstance(c, str) else c for out, c in sums.items()}
+    kinds = dict(df.select(*[v.alias(out) for out, v in values.items()]).dtypes)
+    floating = [out for out, kind in kinds.items() if kind in ("double", "float")]
+    if floating:
+        exact = {out: v.cast(f"decimal(38,{EXACT_DIGITS})") if out in floating else v for out, v in values.items()}
+        summed = cumulative(df, layout, exact)
+        return summed.select(*[F.col(c).cast("double").alias(c) if c in floating else F.col(c) for c in summed.columns])
     running = layout.window().rowsBetween(Window.unboundedPreceding, 0)
     totals = {out: F.sum(v).over(running) for out, v in values.items()}
     if layout.bounds is None:

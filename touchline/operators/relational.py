@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.ordered import first_per, has_large_group, same_keys
+from touchline.operators.ordered import first_per
 
+#: Longer lists are joined instead of written into the filter; a filter of a few is pushed to the scan.
 MAX_LITERAL_LIST = 1_000
 
 
@@ -77,24 +78,18 @@ def semi_join(df: DataFrame, ids: DataFrame, on: str | Sequence[str]) -> DataFra
     return df.join(ids, on, "left_semi")
 
 
-def with_group_agg(
-    df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], large_groups: bool | None = None
-) -> DataFrame:
+def with_group_agg(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
     """Put group aggregates on every row; null keys form a group.
 
-    A window does it in one shuffle, but holds a group in one task. Where a group is larger than
-    that (counted, unless the caller knows) the aggregate, combined before its shuffle, is joined
-    back, and the adaptive skew join can divide the large groups among tasks.
+    The aggregate is combined before its shuffle and joined back by the keys as one struct: both sides
+    are then shuffled for the join, and the adaptive skew join can divide a large group among tasks.
     """
-    if large_groups is None:
-        large_groups = has_large_group(df, keys)
-    if not large_groups:
-        group = Window.partitionBy(*keys)
-        return df.select("*", *[a.over(group).alias(out) for out, a in aggregates.items()])
     groups = df.groupBy(*keys).agg(*[a.alias(out) for out, a in aggregates.items()])
-    groups = groups.withColumnsRenamed({k: f"__{k}" for k in keys})
-    joined = df.join(groups, same_keys(df, groups, [(k, f"__{k}") for k in keys]), "left")
-    return joined.drop(*[f"__{k}" for k in keys])
+    if not keys:
+        return df.crossJoin(F.broadcast(groups))  # a single row
+    groups = groups.select(F.struct(*keys).alias("__key"), *aggregates)
+    joined = df.withColumn("__key", F.struct(*keys))
+    return joined.join(groups, joined["__key"].eqNullSafe(groups["__key"]), "left").drop("__key")
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -60,8 +60,22 @@ def read_teams(spark: SparkSession, path: str, items: T.StructType = TEAMS, mult
     return _read_items(spark, path, "teams", items, multi_line)
 
 
-def read_fixtures(spark: SparkSession, path: str, teams: DataFrame, multi_line: bool = True) -> DataFrame:
-    """Fixtures with team names; a team id that is not in ``teams`` gets a null name."""
+# The columns of the games table.
+GAMES = T.StructType([
+    *_ddl("GW INT, id BIGINT, home STRING, team_h BIGINT, away STRING, team_a BIGINT, finished BOOLEAN"),
+    T.StructField("kickoff", T.TimestampNTZType()), *_ddl("team_h_score INT, team_a_score INT"),
+])
+
+
+def read_fixtures(
+    spark: SparkSession, path: str, teams: DataFrame | None = None, season: int | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Fixtures with team names, or the games of an archived season below ``path``.
+
+    A team id that is not in ``teams`` gets a null name; an archive holds the names itself.
+    """
+    if season is not None:
+        return read_season_csv(spark, path, "games", season, GAMES)
     rows = spark.read.schema(FIXTURES).option("multiLine", multi_line).json(path)
     games = rows.select(
         F.col("event").alias("GW"), "id",
