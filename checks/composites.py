@@ -64,6 +64,14 @@ def k3(spark: Spark, sf: str) -> DataFrame:
     return rounded(home)
 
 
+@query("k3_overall_form_away", a.with_ctes("team_games") + form_sql(5, "overall", "away", "team_games", "next_id"))
+def k3_away(spark: Spark, sf: str) -> DataFrame:
+    games = a.games(spark, sf)
+    layout, _ = games_plan.team_layouts(games)
+    _, away = form.overall_form(games_plan.team_games(games, layout), 5, layout)
+    return rounded(away)
+
+
 def venue_rows(home: bool) -> str:
     side = "home" if home else "away"
     return (
@@ -258,14 +266,20 @@ FORM_NAMES = [
     for scope, side in (("overall", "home"), ("overall", "away"), ("home", "home"), ("away", "away"))
     for stem in form.MEASURES.values()
 ]
-SHOWN_STATS = ["max_all_rolling_mean_6_impact_game_value", "max_g_rolling_max_6_impact_game_selected",
-               "max_d_rolling_mean_6_hourly_rate_assists", "max_f_rolling_max_6_impact_game_threat"]
+TABLE_NAMES = ["number_of_games", "points_from_last_game", "team_points", "games_left_season", "position", "points_to_team_above",
+               "points_to_team_below", "games_left_diff_above", "games_left_diff_below", "points_to_win", "points_to_cl",
+               "points_to_euro", "points_to_regulation"]
+SIDE_TABLES = (("home", "th", "ph"), ("away", "ta", "pa"))
+FEATURE_COLUMNS = [
+    "b.*", *(f"{r6(c)} AS {c}" for c in FORM_NAMES),
+    *(f"{t}.{c} AS tbl_{side}_{c}" for side, t, _ in SIDE_TABLES for c in TABLE_NAMES),
+    *(f"{r6(f'({t}.number_of_games * {t}.{c}) * (CAST({t}.number_of_games AS DOUBLE) / 38)')} AS tbl_{side}_nog_tbl_{side}_{c}"
+      for side, t, _ in SIDE_TABLES for c in features.GAPS),
+    *(f"{r6(f'{p}.{c}')} AS player_{side}_{c}" for side, _, p in SIDE_TABLES for c in STAT_NAMES),
+    *(f"{r6(f'ph.{c} - pa.{c}')} AS player_diff_{c}" for c in STAT_NAMES),
+]
 FEATURES_SQL = a.with_ctes("details", "info", "team_games", extra=FEATURE_VIEWS) + f"""
-SELECT b.season_start_year, b.id, b.kickoff_date, b.train_score, b.label_1, {', '.join(f'{r6(c)} AS {c}' for c in FORM_NAMES)},
-       th.position AS tbl_home_position, ta.position AS tbl_away_position, th.team_points AS tbl_home_team_points,
-       {r6('(th.number_of_games * th.points_to_win) * (CAST(th.number_of_games AS DOUBLE) / 38)')} AS tbl_home_nog_tbl_home_points_to_win,
-       {r6('(ta.number_of_games * ta.points_to_cl) * (CAST(ta.number_of_games AS DOUBLE) / 38)')} AS tbl_away_nog_tbl_away_points_to_cl,
-       {', '.join(f'{r6(f"ph.{c}")} AS player_home_{c}, {r6(f"pa.{c}")} AS player_away_{c}, {r6(f"ph.{c} - pa.{c}")} AS player_diff_{c}' for c in SHOWN_STATS)}
+SELECT {', '.join(FEATURE_COLUMNS)}
 FROM base b
 JOIN form_h fh ON b.season_start_year = fh.season_start_year AND b.team_h = fh.team_id_season AND b.id = fh.next_id
 JOIN form_a fa ON b.season_start_year = fa.season_start_year AND b.team_a = fa.team_id_season AND b.id = fa.next_id
@@ -284,14 +298,8 @@ def feature_data(spark: Spark, sf: str) -> DataFrame:
 
 @query("k10_feature_table", FEATURES_SQL)
 def k10(spark: Spark, sf: str) -> DataFrame:
-    shown = [f"player_{side}_{c}" for c in SHOWN_STATS for side in ("home", "away", "diff")]
-    return rounded(
-        feature_data(spark, sf).select(
-            "season_start_year", "id", "kickoff_date", "train_score", "label_1", *FORM_NAMES,
-            "tbl_home_position", "tbl_away_position", "tbl_home_team_points",
-            "tbl_home_nog_tbl_home_points_to_win", "tbl_away_nog_tbl_away_points_to_cl", *shown,
-        )
-    )
+    """All 320 columns."""
+    return rounded(feature_data(spark, sf))
 
 
 @query(

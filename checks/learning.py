@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,7 @@ from touchline.ml import explain, metrics, models, outcomes, preprocess, search,
 from touchline.ml.models import LABEL
 from touchline.ml.split import split
 from touchline.operators.quantiles import QUINTILES, quantile_edges
-from touchline.operators.relational import join_on
 from touchline.plans import training
-from touchline.plans.form import overall_form
-from touchline.plans.games import games_base, team_games, team_layouts
 from touchline.session import scratch_path
 from touchline.sources.snapshots import load_model, read_snapshot, save_model, write_snapshot
 
@@ -334,7 +332,7 @@ def m20(spark: Spark, sf: str) -> DataFrame:
     top = [r.Feature for r in explain.feature_importance(spark, fitted, names).limit(9).collect()]
     curves = None
     for feature in top:
-        grid = explain.feature_grid(prepared, names.index(feature), 10)
+        grid = explain.feature_grid(prepared, names.index(feature))
         average, _ = explain.partial_dependence(fitted, prepared, names.index(feature), feature, grid, ["vec_id"])
         curves = average if curves is None else curves.unionByName(average)
     return curves
@@ -375,6 +373,79 @@ def s14(spark: Spark, sf: str) -> DataFrame:
     return scored.select("vec_id", F.get(vector_to_array("probability"), 1).alias("p"))
 
 
+# Closed forms: with one 0/1 feature a tree's leaves are the group means, an unpenalised logistic model reaches the same,
+# its coefficient is the log odds ratio, and the partial dependence is the two means.
+
+FLAGS = "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS x, CASE WHEN o_orderkey % 5 < CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END THEN 1 ELSE 0 END AS y FROM orders"
+FLAG_PARAMS = {
+    "Decision Tree": {"maxDepth": 1, "impurity": "gini"},
+    "Logistic Regression": {"C": 1e12, "elasticNetParam": 0.0, "maxIter": 200, "tol": 1e-12},
+}
+
+
+def flags(spark: Spark, sf: str) -> DataFrame:
+    flag = F.col("o_orderstatus") == "F"
+    rows = a.table(spark, sf, "orders").select(
+        "o_orderkey", flag.cast("double").alias("x"), (F.col("o_orderkey") % 5 < F.when(flag, 3).otherwise(1)).cast("double").alias(LABEL))
+    return VectorAssembler(inputCols=["x"], outputCol=preprocess.FEATURES).transform(rows)
+
+
+def flag_model(rows: DataFrame, algorithm: str):
+    return models.build(algorithm, FLAG_PARAMS[algorithm], rows.count()).fit(rows)
+
+
+@query("m8_two_components", f"""WITH z AS (SELECT l_orderkey, l_linenumber, l_partkey, (l_quantity - AVG(l_quantity) OVER ()) / STDDEV_POP(l_quantity) OVER () AS a,
+  (l_extendedprice - AVG(l_extendedprice) OVER ()) / STDDEV_POP(l_extendedprice) OVER () AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, {r6('GREATEST(ABS(a + b), ABS(a - b)) / SQRT(2.0)')} AS larger, {r6('LEAST(ABS(a + b), ABS(a - b)) / SQRT(2.0)')} AS smaller FROM z""")
+def m8_two(spark: Spark, sf: str) -> DataFrame:
+    """Of two standardised columns the axes are their sum and their difference, in either order."""
+    lines = a.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    scaled = preprocess.standardise(lines, ["l_quantity", "l_extendedprice"])
+    model = PipelineModel(preprocess.pca_block(scaled, ["z_l_quantity", "z_l_extendedprice"], "games"))
+    parts = vector_to_array("games_pca")
+    return rounded(model.transform(scaled).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.greatest(F.abs(parts[0]), F.abs(parts[1])).alias("larger"),
+        F.least(F.abs(parts[0]), F.abs(parts[1])).alias("smaller")))
+
+
+@query("m12_group_means", f"""WITH d AS ({FLAGS}), m AS (SELECT x, AVG(y) AS p FROM d GROUP BY x)
+SELECT algorithm, o_orderkey, ROUND(p + 1e-9, 4) AS p FROM d JOIN m USING (x), (VALUES ('Decision Tree'), ('Logistic Regression')) AS v(algorithm)""")
+def m12_means(spark: Spark, sf: str) -> DataFrame:
+    rows, scored = flags(spark, sf), None
+    for name in FLAG_PARAMS:
+        part = flag_model(rows, name).transform(rows).select(
+            F.lit(name).alias("algorithm"), "o_orderkey", F.round(F.get(vector_to_array("probability"), 1) + 1e-9, 4).alias("p"))
+        scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
+@query("s14_saved_group_means", f"WITH d AS ({FLAGS}), m AS (SELECT x, AVG(y) AS p FROM d GROUP BY x) SELECT o_orderkey, {r6('p')} AS p FROM d JOIN m USING (x)")
+def s14_means(spark: Spark, sf: str) -> DataFrame:
+    """A saved and loaded tree gives the group means."""
+    rows, root = flags(spark, sf), scratch_path(spark, "models")
+    save_model(PipelineModel([flag_model(rows, "Decision Tree")]), root, "label_1", "Decision Tree")
+    scored = load_model(root, "label_1", "Decision Tree").transform(rows)
+    return rounded(scored.select("o_orderkey", F.get(vector_to_array("probability"), 1).alias("p")))
+
+
+@query("m19_log_odds_ratio", f"""WITH d AS ({FLAGS}), m AS (SELECT AVG(y) FILTER (WHERE x = 1) AS p, AVG(y) FILTER (WHERE x = 0) AS q FROM d)
+SELECT 'x' AS "Feature", ROUND(LN(p / (1 - p)) - LN(q / (1 - q)) + 1e-9, 3) AS "Coefficients",
+       ROUND(ABS(LN(p / (1 - p)) - LN(q / (1 - q))) + 1e-9, 3) AS "Feature importance" FROM m""")
+def m19_odds(spark: Spark, sf: str) -> DataFrame:
+    table = explain.feature_importance(spark, flag_model(flags(spark, sf), "Logistic Regression"), ["x"])
+    return table.select("Feature", *[F.round(F.col(c) + 1e-9, 3).alias(c) for c in ("Coefficients", "Feature importance")])
+
+
+@query("m20_two_means", f"""WITH d AS ({FLAGS}), m AS (SELECT x, AVG(y) AS p FROM d GROUP BY x), f AS (SELECT MIN_BY(p, x) AS p0 FROM m)
+SELECT o_orderkey, CAST(m.x AS DOUBLE) AS value, {r6('m.p')} AS p, {r6('m.p - p0')} AS centred, {r6('m.p')} AS average FROM d, m, f""")
+def m20_means(spark: Spark, sf: str) -> DataFrame:
+    """Individual and average curves of a tree on one flag: at 0 and 1 they are the two means."""
+    rows = flags(spark, sf)
+    model = flag_model(rows, "Decision Tree")
+    average, curves = explain.partial_dependence(model, rows, 0, "x", explain.feature_grid(rows, 0), ["o_orderkey"])
+    return rounded(curves.join(average.select("value", "average"), "value").select("o_orderkey", "value", "p", "centred", "average"))
+
+
 CHECK_GRIDS = {
     "Logistic Regression": {"C": [0.01, 0.1], "elasticNetParam": [0.0], "maxIter": [30]},
     "Decision Tree": {"impurity": ["gini"], "maxDepth": [2, 4], "minInstancesPerNode": [20]},
@@ -398,11 +469,6 @@ def k15(spark: Spark, sf: str) -> DataFrame:
 
 @query("k16_score")
 def k16(spark: Spark, sf: str) -> DataFrame:
-    """Three models on the form features, then the next games scored with the best algorithm."""
-    games = a.games(spark, sf)
-    layout, _ = team_layouts(games)
-    data = games_base(games)
-    for view, team in zip(overall_form(team_games(games, layout), 5, layout), ("team_h", "team_a"), strict=True):
-        data = join_on(data, view, [("season_start_year", "season_start_year"), (team, "team_id_season"), ("id", "next_id")])
-    root, _ = _train(data, ["label_1", "label_X", "label_2"])
+    """Three models on all features, then the next games scored with the best algorithm."""
+    root, _ = _train(feature_data(spark, sf), ["label_1", "label_X", "label_2"])
     return training.score(spark, root, read_snapshot(spark, root, "score"))
