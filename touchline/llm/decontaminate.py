@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.text import PLAIN, Words, scan, slices, utf8, windows
+from touchline.llm.text import PLAIN, Words, bounded_batches, scan, slices, utf8, windows
 
 WINDOW = 10
 #: Windows in one broadcast set. At some 200 bytes each it stays below 100 MB; a larger benchmark
@@ -119,6 +119,7 @@ def find_contamination(
     called ``name`` is replaced. Empty tables give no rows or no hits.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     kept = [f for f in docs.schema.fields if f.name != name]
     schema = T.StructType([*kept, T.StructField(name, FOUND)])
     arrow = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])

@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.llm.text import bounded_batches
+
 #: N-grams in a profile, of a language or a document.
 PROFILE = 400
 #: Languages that may be learned: with PROFILE entries each they bound what is broadcast.
 LANGUAGES = 2_000
 UNKNOWN = "und"
 #: Characters that are worked on at once.
-RUN = 1 << 20
+RUN = 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -99,6 +101,7 @@ def learn_profiles(
         for lang, (codes, counts) in tally.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], schema.names)
 
+    bounded_batches(docs.sparkSession)
     taught = docs.select(F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")).dropna()
     counted = taught.mapInArrow(run, schema).groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
@@ -160,6 +163,7 @@ def identify(
     languages equally near, the first by name wins. Columns of ``docs`` with the two names are replaced.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     fields = [f for f in docs.schema.fields if f.name not in (lang_name, score_name)]
     schema = T.StructType([*fields, T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())])
     shared = spark.sparkContext.broadcast(profiles)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.llm.text import bounded_batches
 from touchline.llm.tokens import encoded_texts
 
 WINDOW = 1024
@@ -110,6 +111,7 @@ def pack_documents(
     """
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
+    bounded_batches(docs.sparkSession)
     schema = T.StructType([*PIECES.fields, *([T.StructField("ids", T.ArrayType(T.LongType()))] if with_ids else [])])
     arrow = pa.schema([*_ARROW, *([pa.field("ids", pa.list_(pa.int64()))] if with_ids else [])])
 

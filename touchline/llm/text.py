@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 2 << 20
+#: Bytes of text that Spark hands to a Python worker at once; a longer text comes alone.
+BATCH = 8 << 20
 
 _BYTES = np.arange(256)
 #: A-Z to a-z, every other byte as it is.
@@ -29,6 +31,17 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _SYMBOL = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+def bounded_batches(spark) -> None:
+    """Let no Arrow batch be larger than BATCH bytes, also where a session allows more.
+
+    Rows alone do not bound a batch: ten thousand long texts would not fit a worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> np.uint64(33))
@@ -38,14 +51,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def of(base: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-    return of(_BASE), of(_INVERSE)
+
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers_of(_BASE, SLICE), _powers_of(_INVERSE, SLICE)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and its inverse; only what an ordinary slice needs is kept."""
+    return _kept_powers() if n <= SLICE else (_powers_of(_BASE, n), _powers_of(_INVERSE, n))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +114,11 @@ def scan(raw: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> Words:
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
     if len(start):
-        size = SLICE * 2 if n <= SLICE * 2 else n
-        power, inverse = _powers(size)
+        power, inverse = _powers(n)
         symbol = np.where(is_word, _SYMBOL, np.uint64(0))
-        total = np.add.reduceat(symbol[low] * power[:n], start) * inverse[start]
+        value = symbol[low]
+        value *= power[:n]
+        total = np.add.reduceat(value, start) * inverse[start]
         hashed = mix(total + (end - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
     else:
         hashed = np.empty(0, np.uint64)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm import rans
+from touchline.llm.text import bounded_batches
 from touchline.llm.tokens import encoded_texts
 
 #: A segment closes with the document that takes it to so many ids. It has one frequency table,
@@ -91,6 +92,7 @@ def write_token_files(
         if total:
             yield closed()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, FORMAT).write.parquet(path)
 
@@ -110,6 +112,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     counts the ids of all documents before, so the totals of the parts, one number for each task
     that wrote, are summed on the driver.
     """
+    bounded_batches(spark)
     files = spark.read.schema(FORMAT).parquet(path)
     totals = sorted((r.part, r.n) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).toLocalIterator())
     before, base = 0, []
