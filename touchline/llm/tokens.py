@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,11 @@ import pyarrow as pa
 from touchline.llm.text import slices, utf8
 
 #: Chunks whose ids a Python worker remembers in each of two generations, some 250 bytes each.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
+#: Chunks that are encoded in one text.
+GROUP = 64
+#: A chunk that may stand between marks: one leading space at most, and no other white space or control.
+_SIMPLE = re.compile(r" ?[^\s\x00-\x20\x7f]+")
 
 _B = np.arange(256)
 _LETTER, _SIGN, _SOLID, _DOUBTFUL, _SPACE, _BREAK, _HIGH = (1 << k for k in range(7))
@@ -74,15 +79,50 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text their strings are ordinary text
         self.remembered, self.known, self.older = remembered, {}, {}
+        self.mark, self.mark_id = self._marks()
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _marks(self) -> tuple[str, int]:
+        """A string that is one id of its own between any two chunks without it, or none."""
+        for mark, alone in (("\n", "\n"), (" \x01 ", "\x01")):
+            ids = self._ids(alone)
+            if len(ids) == 1 and all(self._ids(mark.join(t)) == [i for k, c in enumerate(t) for i in (ids * (k > 0) + self._ids(c))]
+                                     for t in (("a", "b"), (" a", " b", "."), ("a1", ".", "é", " é"))):
+                return mark, ids[0]
+        return "", -1
+
+    def _fresh(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks: GROUP of them in one text with marks between, which costs the library less than each alone.
+
+        A chunk with white space but a leading space, or with a mark's character, goes alone.
+        """
+        out: list[bytes] = [b""] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if self.mark and _SIMPLE.fullmatch(c)]
+        alone = sorted(set(range(len(chunks))).difference(plain))
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, np.uint32).tobytes()
+        groups = [plain[k:k + GROUP] for k in range(0, len(plain), GROUP)]
+        joined = [self.mark.join([chunks[i] for i in g]) for g in groups]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(ids == self.mark_id)
+            if len(at) != len(g) - 1:
+                raise ValueError("a mark was lost between chunks")
+            data, past = ids.tobytes(), 0
+            for i, end in zip(g, [*(at * 4).tolist(), len(data)], strict=True):
+                out[i] = data[past:end]
+                past = end + 4
+        return out
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
         known, older = self.known, self.older
         out = [known.get(c) or older.get(c) for c in chunks]
         new = [i for i, v in enumerate(out) if v is None]
         if new:
-            encoded = self.tokenizer.encode_batch_fast([chunks[i] for i in new], add_special_tokens=False)
-            for i, e in zip(new, encoded, strict=True):
-                out[i] = np.array(e.ids, np.uint32).tobytes()
+            for i, ids in zip(new, self._fresh([chunks[i] for i in new]), strict=True):
+                out[i] = ids
         if len(known) + len(chunks) > self.remembered:
             self.older = known
             known = self.known = {}
@@ -131,7 +171,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Bytes of text that are encoded at once.
-RUN = 8 << 20
+RUN = 4 << 20
 
 
 def encoded_texts(path: str, column: pa.Array, end: int):
