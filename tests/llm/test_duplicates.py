@@ -165,3 +165,18 @@ def test_text_digest(docs, rows):
 
     got = docs.select("doc_id", F.sha2(normalised(F.col("text")).cast("binary"), 256)).collect()
     same(got, [(i, hashlib.sha256(low(t).encode()).hexdigest()) for i, t in rows])
+
+
+def test_rows_beyond_the_broadcast_are_joined(spark, monkeypatch):
+    """The other way to the texts of candidates gives the same."""
+    from touchline.llm import line_dedup, minhash
+
+    rows = [(1, "one two three four five six seven eight nine ten eleven"), (2, "one two three four five six seven eight nine ten twelve"),
+            (3, "something else\nA line that is long enough to count."), (4, "A line that is long enough to count!\nyet another"), (5, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    want = near_duplicates(table, words=2).collect(), line_report(table).collect()
+    monkeypatch.setattr(minhash, "BROADCAST", 0)
+    monkeypatch.setattr(line_dedup, "BROADCAST", 0)
+    same(near_duplicates(table, words=2).collect(), want[0])
+    same(line_report(table).collect(), want[1])
+    assert {r.component_id for r in want[0] if r.doc_id < 3} == {1} and sum(r.n_dropped for r in want[1]) == 1

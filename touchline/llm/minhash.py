@@ -7,13 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.components import components
-from touchline.llm.text import SPACED, Words, scan, slices, utf8, windows
+from touchline.llm.text import SPACED, Words, bounded_batches, scan, slices, utf8, windows
 from touchline.session import scratch_path
 
 #: Values in a sketch.
@@ -23,6 +22,8 @@ SKETCH = 32
 SHARED = 10
 #: Documents that are compared with one pivot of an inverted list.
 BLOCK = 64
+#: Ids that may be broadcast to pick rows, 8 bytes each; beyond that many they are joined by shuffle.
+BROADCAST = 1_000_000
 
 _LONGS = T.ArrayType(T.LongType())
 SIGNED = T.StructType([
@@ -83,9 +84,18 @@ def enough(x: Column, y: Column, nx: Column, ny: Column, sketch: int, shared: in
     return sizes & F.when(F.size(union) < sketch, common * 100 >= F.size(union) * percent).otherwise(common >= shared)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs a, b whose whole shingle sets are as similar as ``percent``."""
+def only(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is in ``ids``: by a broadcast up to BROADCAST counted ids, else by a shuffle."""
+    ids = ids.withColumnRenamed(ids.columns[0], column).distinct()
+    few = ids.limit(BROADCAST + 1).count() <= BROADCAST
+    return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")
+
+
+def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs a, b whose whole shingle sets are as similar as ``percent``; only their texts are moved."""
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    texts = only(rows.select(F.col("doc_id").alias("id"), "text"), ends, "id").dropDuplicates(["id"])
     first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
     both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -104,48 +114,87 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return both.mapInArrow(run, schema)
 
 
-def _stars(lists: DataFrame, longest: int) -> DataFrame:
-    """Pairs a < b of each member of an inverted list with a pivot.
+def _fits(n: str, m: str, percent: int) -> Column:
+    """Whether sets of these sizes can be as similar as ``percent``."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
 
-    A list (value, members, id) is dealt into blocks of about BLOCK members, the least of each is its pivot,
-    and the pivots of a list form a shorter list. So no group is large, and the pairs are about as many as the members.
+def _stars(lists: DataFrame, longest: int, percent: int) -> DataFrame:
+    """Pairs a < b of each member of an inverted list with a pivot, and whether their sizes fit.
+
+    A list (value, members, id, n) is dealt into blocks of about BLOCK members, the least of each is its
+    pivot, and the pivots of a list form a shorter list. So no group is large, and the pairs are
+    about as many as the members.
     """
     out = None
     while True:
         blocks = F.ceil(F.col("members") / BLOCK)
         dealt = lists.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("value", "id"), F.col("blocks")))
-        pivots = dealt.groupBy("value", "block", "blocks").agg(F.min("id").alias("a"))
-        pairs = dealt.select("value", "block", F.col("id").alias("b")).join(pivots, ["value", "block"]).filter("a <> b").select("a", "b")
+        pivots = dealt.groupBy("value", "block", "blocks").agg(F.min(F.struct("id", "n")).alias("p"))
+        pairs = dealt.select("value", "block", F.col("id").alias("b"), "n").join(pivots, ["value", "block"]).filter("p.id <> b").select(
+            F.col("p.id").alias("a"), "b", _fits("p.n", "n", percent).alias("fits"))
         out = pairs if out is None else out.unionByName(pairs)
         if longest <= BLOCK:
             return out.distinct()
         longest = -(-longest // BLOCK)
-        lists = pivots.filter("blocks > 1").select("value", F.col("blocks").alias("members"), F.col("a").alias("id"))
+        lists = pivots.filter("blocks > 1").select("value", F.col("blocks").alias("members"), F.col("p.id").alias("id"), F.col("p.n").alias("n"))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
+    """``rows`` with the component of ``column`` as ``out``; an id without links is its own."""
+    named = labels.select(F.col("node").alias(column), F.col("component").alias(out))
+    return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
+
+
+def _alone(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """id and alone: how many shingles of a document no other of ``ids`` has; without a row, none.
+
+    One aggregation over the shingles' hashes, combined before its shuffle. An id in several rows counts
+    its shingles several times, so fewer of them seem alone, which only lets more pairs through.
+    """
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingle", T.LongType())])
+    texts = only(rows.select(F.col("doc_id").alias("id"), "text"), ids, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, bounds = utf8(batch.column(1))
+            names = batch.column(0).to_numpy()
+            for a, b in slices(bounds):
+                sets = list(shingle_sets(scan(raw, bounds[a:b + 1], SPACED), size))
+                owners = np.repeat(names[a:b], [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], schema.names)
+
+    owned = texts.mapInArrow(run, schema).groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("id"))
+    return owned.filter("times = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
 
 
-def _across(lists: DataFrame, labels: DataFrame, classes: DataFrame, sketch: int, shared: int, percent: int) -> DataFrame:
-    """Pairs of an inverted list that are in different components so far and pass the sketches' estimate.
+def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the inverted lists that hold several components so far: value, id, n, component, main.
 
-    In each list the most frequent component is the main one; the members of others are compared with all members
-    outside their own. A pair comes from the least list that both are in, once.
+    main is the most frequent component of the list. A list of two has its only pair among the stars.
     """
-    labelled = lists.select("value", "id").join(labels, F.col("id") == F.col("node"), "left").select(
-        "value", "id", F.coalesce("component", "id").alias("component"))
+    labelled = _labelled(lists.filter("members > 2").select("value", "id", "n"), labels, "id", "component")
     count = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     main = count.groupBy("value").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    main = main.filter("parts > 1").select(F.struct("value").alias("key"), F.col("main.component").alias("main"))
-    mixed = labelled.withColumn("key", F.struct("value")).join(main, "key").select("value", "id", "component", "main")
-    probes = lists.groupBy("id").agg(F.collect_list("value").alias("values"))  # as many as a sketch at most
-    known = classes.select("id", "n", "sketch").join(probes, "id")
-    full = mixed.join(known, "id")
-    left = full.filter("component <> main").select(
-        F.struct("value").alias("key"), F.col("id").alias("i"), F.col("component").alias("c"), F.col("n").alias("m"),
-        F.col("sketch").alias("s"), F.col("values").alias("v"))
-    right = full.withColumn("key", F.struct("value"))
+    main = main.filter("parts > 1").select(F.bitwise_not("value").alias("key"), F.col("main.component").alias("main"))
+    return labelled.withColumn("key", F.bitwise_not("value")).join(main, "key").select("value", "id", "n", "component", "main")
+
+
+def _across(mixed: DataFrame, alone: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of members of a mixed list in different components that can still be similar.
+
+    The members outside the main component are compared with all members outside their own. Two sets
+    that are as similar as ``percent`` have at least percent / (100 + percent) of their summed sizes in
+    common. Shingles that no other member of any mixed list has are never common, so a document with many of its own
+    needs no comparison: an edited copy that reaches nobody does not meet all other copies.
+    """
+    known = mixed.join(alone, "id", "left").select(
+        F.bitwise_not("value").alias("key"), "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"), "component", "main")
+    left = known.filter("component <> main").select(
+        F.col("key").alias("same"), F.col("id").alias("i"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("most_i"))
     once = (F.col("component") == F.col("main")) | (F.col("i") < F.col("id"))
-    least = F.array_min(F.array_intersect("v", "values")) == F.col("value")
-    met = right.join(left, (right["key"] == left["key"]) & (F.col("c") != F.col("component")) & once & least
-                     & enough(F.col("s"), F.col("sketch"), F.col("m"), F.col("n"), sketch, shared, percent))
+    reach = F.least("most", "most_i") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    met = known.join(left, (F.col("key") == F.col("same")) & (F.col("c") != F.col("component")) & once & reach)
     return met.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
 
 
@@ -161,10 +210,11 @@ def near_duplicates(
 
     Equal word sequences are one class from the start. A class keeps the least hashes of its set. Each hash is an
     inverted list; the lists are ranked from rare to frequent, and a class enters only so many of its rarest that two classes with
-    ``shared`` hashes in common meet in one. First every list's members meet pivots: pairs in
-    proportion to the members. Then the members of a list that are still in different components meet each other, which loses no link
-    that could join two of them; pairs inside a component need no test. Candidates pass the estimate from the union's sketch and
-    are confirmed on the whole sets of both texts. Lists, links and labels are tables in the shared folder.
+    ``shared`` hashes in common meet in one. First each class meets the least pivot of its lists, then, where that left
+    them in different components, all its pivots: pairs in proportion to the members. At last the members of a list
+    that are still in different components meet each other, unless the shingles they share with anybody are too few for a link; this
+    loses no link that could join two components, and pairs inside one need no test. Candidates pass the estimate from the union's sketch and are confirmed on the
+    whole sets of both texts. Lists, pairs, links and labels are tables in the shared folder.
 
     The one loss: two sets of more than ``sketch`` shingles, as similar as asked for, have fewer than ``shared`` of
     the union's least hashes in common, with the probability stated at SHARED. Shingles are compared by 64-bit hashes.
@@ -172,6 +222,7 @@ def near_duplicates(
     document in several rows. A row without id has no component and is kept. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
 
     def stored(df: DataFrame, name: str) -> DataFrame:
@@ -186,36 +237,43 @@ def near_duplicates(
 
     postings = classes.select("id", "n", F.explode("sketch").alias("value"))
     often = postings.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select(
-        F.struct("value").alias("key"), "members")
-    ranked = postings.withColumn("key", F.struct("value")).join(often, "key", "left").groupBy("id", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("members", F.lit(1)).alias("members"), "value"))).alias("values"))
-    size = F.size("values")
+        F.bitwise_not("value").alias("key"), "members")
+    # hashes that only one class has come first in its ranking; their number is enough
+    shared_ones = postings.select("id", "n", F.bitwise_not("value").alias("key")).join(often, "key").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("members", "key"))).alias("values"))
+    size = F.least("n", F.lit(sketch))
     exact = F.ceil(F.col("n") * percent / 100)  # with whole sets on either side
     need = F.when(F.col("n") * 100 <= sketch * percent, exact).otherwise(F.least(F.lit(shared), size))
-    prefix = F.slice("values", 1, (size - need + 1).cast("int"))
-    lists = stored(ranked.select("id", F.explode(prefix).alias("p")).filter("p.members > 1").select(
-        "id", F.col("p.value").alias("value"), F.col("p.members").alias("members")), "lists")
+    room = (size - need + 1) - (size - F.size("values"))
+    prefix = F.slice("values", 1, F.greatest(room, F.lit(0)).cast("int"))
+    lists = stored(shared_ones.select("id", "n", F.explode(prefix).alias("p")).select(
+        "id", "n", F.bitwise_not("p.key").alias("value"), F.col("p.members").alias("members")), "lists")
 
     longest = lists.agg(F.max("members")).first()[0] or 0
-    taking_part = classes.join(lists.select("id").distinct(), "id")
-    texts = rows.join(taking_part.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]).select(
-        F.col("doc_id").alias("id"), "text").persist(StorageLevel.DISK_ONLY)
-    part = stored(taking_part.select("id", "n", "sketch"), "part")
-
-    def side(name: str) -> DataFrame:
-        return part.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-
-    try:
-        stars = _stars(lists, longest).join(side("a"), "a").join(side("b"), "b").filter(
-            enough(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), sketch, shared, percent)).select("a", "b")
-        links = stored(_links(stars, texts, words, percent), "links")
-        labels = components(links, "a", "b")
-        across = _across(lists, labels, part, sketch, shared, percent)
-        more = stored(_links(across, texts, words, percent), "links")
-    finally:
-        texts.unpersist()
+    tested = stored(_stars(lists, longest, percent), "tested")
+    fitting = tested.filter("fits").select("a", "b")
+    # for the estimate the upper halves of the hashes do: they order alike, and a false match only lets a pair pass
+    brief = classes.select("id", "n", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("s"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        for name in ("a", "b"):
+            pairs = pairs.join(brief.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("s").alias(f"s_{name}")), name)
+        passed = pairs.filter(enough(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), sketch, shared, percent))
+        return stored(_links(stored(passed.select("a", "b"), "pairs"), rows, words, percent), "links")
+
+    least = fitting.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = linked(least)
+    labels = components(links, "a", "b")
+    apart = _labelled(_labelled(fitting.join(least, ["a", "b"], "left_anti"), labels, "a", "c"), labels, "b", "d").filter("c <> d")
+    more = linked(apart.select("a", "b"))
     if more.take(1):
-        labels = components(links.unionByName(more), "a", "b")
+        links = links.unionByName(more)
+        labels = components(links, "a", "b")
+    mixed = stored(_mixed(lists, labels), "mixed")
+    alone = stored(_alone(rows, mixed.select("id"), words), "alone")
+    last = linked(_across(mixed, alone, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+    if last.take(1):
+        labels = components(links.unionByName(last), "a", "b")
     named = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(
         F.struct("digest").alias("key"), F.coalesce("component", "id").alias("component"))
     out = signed.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.struct("digest")).alias("key"))
