@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import scratch_path
+
 THRESHOLD = 2
 #: Lines with fewer characters are compared for equality only: at such lengths two edits make other words.
 SHORTEST = 16
+#: Hashes that may be broadcast to pick the lines of candidates, 8 bytes each.
+BROADCAST = 1_000_000
 
 
 def segment(length: str, parts: int, number: int) -> tuple[str, str]:
@@ -108,57 +112,77 @@ def lines_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return cut.filter("line <> ''")
 
 
+def _hashed(lines: DataFrame) -> DataFrame:
+    """Lines with two 64-bit hashes that stand for their text."""
+    return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64("line", F.lit(20)))
+
+
 def _classes(lines: DataFrame) -> DataFrame:
-    """Distinct lines, by two 64-bit hashes, with the place where each is first: by document, then position."""
-    keyed = lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64("line", F.lit(20)))
-    return keyed.groupBy("h1", "h2").agg(F.max("line").alias("line"), F.min(F.struct("doc", "pos")).alias("first"))
+    """Distinct lines with the place where each is first: by document, then position; without their text."""
+    return _hashed(lines).groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"))
 
 
-def similar_lines(classes: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
+def _texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Distinct lines with an ``h1`` that is wanted: h1, h2, line, first.
+
+    The hashes are broadcast up to BROADCAST counted ones, so the text of other lines is not moved; beyond,
+    lines and hashes are joined by a shuffle.
+    """
+    wanted = wanted.distinct()
+    few = wanted.limit(BROADCAST + 1).count() <= BROADCAST
+    chosen = _hashed(lines).join(F.broadcast(wanted) if few else wanted, "h1", "left_semi")
+    return chosen.groupBy("h1", "h2").agg(F.max("line").alias("line"), F.min(F.struct("doc", "pos")).alias("first"))
+
+
+def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """Pairs a, b (structs of h1, h2, first) of different lines within ``threshold`` edits, once each.
 
-    Keys are shuffled as hashes without the lines, and joined by a join that Spark may split where
-    many lines share a segment; candidates are made distinct and verified on the whole lines.
+    A task turns each line into the keys of its own segments and of its probes. Lines that repeat are combined
+    before their keys are dealt out, as hashes and without the lines; the join of keys is one that Spark
+    may split where many lines share a segment. Candidates are made distinct, written to the shared
+    folder, and verified on the whole lines.
     """
     if shortest <= threshold:
         raise ValueError("a line must have more characters than the threshold")
-    long_ = classes.withColumn("n", F.length("line")).filter(F.col("n") >= shortest)
-    index = long_.select("h1", "h2", F.explode(F.expr(index_keys(threshold))).alias("key"))
-    probe = long_.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.explode(F.expr(probe_keys(threshold, shortest))).alias("key"))
-    met = index.join(probe, "key").filter("h1 <> p1 or h2 <> p2")
-    one, two = F.struct("h1", "h2"), F.struct(F.col("p1").alias("h1"), F.col("p2").alias("h2"))
-    pairs = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).select(
-        F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2")).distinct()
+    spark = lines.sparkSession
+    long_ = _hashed(lines).withColumn("n", F.length("line")).filter(F.col("n") >= shortest)
+
+    def keyed(keys: str, name: str) -> DataFrame:
+        own = long_.select("h1", "h2", F.expr(keys).alias("keys")).groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
+        return own.select(F.col("h1").alias(name), F.explode("keys").alias("key"))
+
+    met = keyed(index_keys(threshold), "i").join(keyed(probe_keys(threshold, shortest), "p"), "key").filter("i <> p")
+    path = scratch_path(spark, "candidates")
+    met.select(F.least("i", "p").alias("a1"), F.greatest("i", "p").alias("b1")).distinct().write.parquet(path)
+    pairs = spark.read.schema("a1 long, b1 long").parquet(path)
+    texts = _texts_of(lines, pairs.select(F.explode(F.array("a1", "b1")).alias("h1")))
+    path = scratch_path(spark, "lines")
+    texts.write.parquet(path)
+    texts = spark.read.schema(texts.schema).parquet(path)
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("h1").alias(f"{name}1"), F.col("h2").alias(f"{name}2"), F.col("line").alias(f"line_{name}"),
-                              F.col("first").alias(f"first_{name}"))
-
-    both = pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
-    near = both.filter(banded_distance(F.col("line_a"), F.col("line_b"), threshold) <= threshold)
-
-    def as_class(name: str) -> Column:
-        return F.struct(F.col(f"{name}1").alias("h1"), F.col(f"{name}2").alias("h2"), F.col(f"first_{name}").alias("first"))
+        return texts.select(F.col("h1").alias(f"{name}1"), F.struct("h1", "h2", "first").alias(name), F.col("line").alias(f"line_{name}"))
 
-    return near.select(as_class("a").alias("a"), as_class("b").alias("b"))
+    both = pairs.join(side("a"), "a1").join(side("b"), "b1")
+    return both.filter(banded_distance(F.col("line_a"), F.col("line_b"), threshold) <= threshold).select("a", "b")
 
 
 def judged_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Every distinct line: line, first (doc, pos), n_links and kept.
+    """Every distinct line: h1, h2, first (doc, pos), n_links and kept.
 
     n_links counts the other lines within ``threshold`` edits. A line is kept unless one of those
     comes first somewhere earlier, by document id and then position.
     """
-    classes = _classes(lines_of(docs, id_column, text_column))
-    links = similar_lines(classes, threshold, shortest)
+    lines = lines_of(docs, id_column, text_column)
+    classes, links = _classes(lines), similar_lines(lines, threshold, shortest)
     ends = links.select(F.explode(F.array(
         F.struct(F.col("a.h1").alias("h1"), F.col("a.h2").alias("h2"), F.col("b.first").alias("other")),
         F.struct(F.col("b.h1").alias("h1"), F.col("b.h2").alias("h2"), F.col("a.first").alias("other")))).alias("e")).select("e.*")
     linked = ends.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_links"), F.min("other").alias("earliest"))
     out = classes.join(linked, ["h1", "h2"], "left")
     kept = F.col("earliest").isNull() | (F.col("first") < F.col("earliest"))
-    return out.select("line", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), kept.alias("kept"))
+    return out.select("h1", "h2", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
@@ -181,8 +205,10 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
 
 def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """doc_id and text of every document, with only its kept lines at their first place; a text may become empty."""
-    kept = judged_lines(docs, threshold, shortest).filter("kept").select("first.*", "line")
-    again = kept.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("rows"))
+    kept = judged_lines(docs, threshold, shortest).filter("kept").select(F.struct("first.doc", "first.pos").alias("place"))
+    lines = lines_of(docs).withColumn("place", F.struct("doc", "pos")).dropDuplicates(["place"])
+    again = lines.join(kept, lines["place"].eqNullSafe(kept["place"]), "left_semi").groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("rows"))
     ids = docs.select("doc_id").distinct()
     joined = ids.join(again, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
     return joined.select("doc_id", F.array_join(F.transform(F.coalesce("rows", F.array()), lambda r: r["line"]), "\n").alias("text"))
