@@ -137,3 +137,59 @@ def test_licenses(spark, docs, rows, empty):
     assert Counter(map(tuple, scan_licenses(table).collect())) == Counter((i, *brute(t)) for i, t in own)
     assert {r.doc_id: r.license for r in scan_licenses(table).collect()}[2] == "MIT"
     assert scan_licenses(docs).count() == len(rows) and scan_licenses(empty).count() == 0
+
+
+def test_licenses_inside_their_unit(spark):
+    """Notices in comments, behind a copyright line, in prose, and after a word as comment leader."""
+    def text(name, k):
+        return [t for n, t in TEMPLATES if n == name and len(t) > 100][k]
+
+    def lines(t, size=9):
+        words = t.split(" ")
+        return [" ".join(words[k:k + size]) for k in range(0, len(words), size)]
+
+    def block(*paragraphs):
+        return "/*\n * Copyright (c) 2020 Jane Doe\n" + " *\n".join(" * " + "\n * ".join(lines(p)) + "\n" for p in paragraphs) + " */\nint main(void);"
+
+    gpl2 = text("GPL-3.0", 0).replace("version 3", "version 2")
+    own = [
+        (1, block(text("MIT", 0), text("MIT", 1)), "MIT"), (2, block(text("GPL-3.0", 0), text("GPL-3.0", 1)), "GPL-3.0"),
+        (3, "\n".join("# " + x for x in lines(text("GPL-3.0", 0)) + ["", "import os"] + lines(text("GPL-3.0", 1))), "GPL-3.0"),
+        (4, block(text("BSD-2-Clause", 0)), "BSD-2-Clause"), (5, "Copyright 2020 Jane Doe. Released under the MIT License.", "MIT"),
+        (6, "Here we say a few words about our code, which was released under the MIT License. and then we go on for quite a while yet", "MIT"),
+        (7, "\n".join("dnl " + x for x in lines(text("ISC", 0), 3)), "ISC"), (8, block(gpl2), "GPL-2.0"),
+        (9, "a permission was granted under the law, the software is free and the license says so", None), (10, "under the\nlicense mit", None),
+        (11, "The above copyright notice and this permission notice shall be included in all copies of the software. Thanks!", "MIT"),
+    ]
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame([r[:2] for r in own], "doc_id long, text string")).collect()}
+    assert {i: got[i].license for i, _, _ in own} == {i: name for i, _, name in own}
+    assert got[5].dice == got[6].dice == got[1].dice == got[7].dice == 1 and got[9].licenses == "" and got[9].dice is None
+
+
+def test_best_passage(spark):
+    """The best run of all, by brute force."""
+    import random
+
+    rng = random.Random(4)
+    chosen = [t for t in TEMPLATES if 8 <= len(bigrams_of(t[1])) <= 30][:6]
+    texts = []
+    for _ in range(60):
+        words = re.findall("[a-z0-9]+", rng.choice(chosen)[1].lower())
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(words))
+            words[at:at + rng.randint(0, 1)] = rng.choice([["other"], ["of", "the"], []])
+        texts.append(" ".join(rng.choices(["some", "of", "the", "work"], k=rng.randint(0, 12)) + words + rng.choices(["is", "a", "license"], k=5)))
+
+    def best(text):
+        words, top = re.findall("[a-z0-9]+", text), {}
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+        for name, t in chosen:
+            want = set(bigrams_of(t))
+            score = max(2 * len(want & set(pairs[a:b])) / (len(want) + len(set(pairs[a:b]))) for a in range(len(pairs)) for b in range(a + 1, len(pairs) + 1))
+            if score >= 0.8:
+                top[name] = max(score, top.get(name, 0))
+        return max(top.values(), default=None), ",".join(sorted(top))
+
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in scan_licenses(table, chosen, paragraphs=[]).collect():
+        assert (r.dice, r.licenses) == (pytest.approx(best(texts[r.doc_id])[0]), best(texts[r.doc_id])[1]), texts[r.doc_id]
