@@ -180,3 +180,21 @@ def test_rows_beyond_the_broadcast_are_joined(spark, monkeypatch):
     same(near_duplicates(table, words=2).collect(), want[0])
     same(line_report(table).collect(), want[1])
     assert {r.component_id for r in want[0] if r.doc_id < 3} == {1} and sum(r.n_dropped for r in want[1]) == 1
+
+
+def test_lines_of_every_length(spark):
+    """With no least length, links are those of brute force, down to one character."""
+    rng = random.Random(11)
+    lines = ["Page 12 of 30", "Page 13 of 30", "Stteen Erachtz.", "Steen Erachtz.", "a", "é", "abc", "xyz"]
+    lines += ["".join(rng.choices("abcé", k=rng.randint(1, 9))) for _ in range(150)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    first = {line: k for k, line in reversed(list(enumerate(lines)))}
+    pairs = spark.createDataFrame([(a, b) for a in first for b in first if a < b], "a string, b string")
+    links, late = Counter(), set()
+    for r in pairs.filter(F.levenshtein("a", "b") <= 2).collect():
+        x, y = sorted((first[r.a], first[r.b]))
+        links.update((x, y))
+        late.add(y)
+    want = [(k, 1, links[k] if first[line] == k else 0, int(first[line] != k or k in late)) for k, line in enumerate(lines)]
+    same(line_report(table, shortest=1).collect(), want)
+    assert links[0] >= 1 and links[2] >= 1

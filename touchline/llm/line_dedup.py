@@ -141,9 +141,12 @@ def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int =
     before their keys are dealt out, as hashes and without the lines; the join of keys is one that Spark
     may split where many lines share a segment. Candidates are made distinct, written to the shared
     folder, and verified on the whole lines.
+
+    ``shortest=1`` joins all lines. Those of at most ``threshold`` characters have empty segments, at which they
+    meet every line of about their length, as two edits may leave nothing of them.
     """
-    if shortest <= threshold:
-        raise ValueError("a line must have more characters than the threshold")
+    if shortest < 1:
+        raise ValueError("a line must have a character")
     spark = lines.sparkSession
     long_ = _hashed(lines).withColumn("n", F.length("line")).filter(F.col("n") >= shortest)
 
