@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -206,12 +208,19 @@ def m12(spark: Spark, sf: str) -> DataFrame:
     return scored
 
 
+# The reference draws 30 combinations of each grid and validates them on three folds.
+DRAWS, FOLDS = 30, 3
+
+
 def _search(spark: Spark, sf: str) -> DataFrame:
-    rows = search.stratified_folds(a.numbers(spark, sf), ["vec_id"], "y")
+    """All five algorithms: one row per algorithm and candidate."""
+    rows = search.stratified_folds(a.numbers(spark, sf), ["vec_id"], "y", FOLDS)
     plan = preprocess.build_preprocessor(rows, [], NUMBER_FAMILIES, exclude=("vec_id", "y", "fold"))
-    drawn = models.candidates(models.GRIDS["Logistic Regression"], 3)
-    small = [{**c, "maxIter": 50} for c in drawn]
-    return search.search("Logistic Regression", small, search.prepare_folds(rows, "y", plan.fit))
+    held_out, found = search.prepare_folds(rows, "y", plan.fit), []
+    for name, grid in models.GRIDS.items():
+        results = search.search(name, models.candidates(grid, DRAWS), held_out)
+        found.append(results.select(F.lit(name).alias("algorithm"), "*"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("m13_parameter_search")
@@ -446,19 +455,13 @@ def m20_means(spark: Spark, sf: str) -> DataFrame:
     return rounded(curves.join(average.select("value", "average"), "value").select("o_orderkey", "value", "p", "centred", "average"))
 
 
-CHECK_GRIDS = {
-    "Logistic Regression": {"C": [0.01, 0.1], "elasticNetParam": [0.0], "maxIter": [30]},
-    "Decision Tree": {"impurity": ["gini"], "maxDepth": [2, 4], "minInstancesPerNode": [20]},
-}
-
-
 def _train(data: DataFrame, labels: list[str]) -> tuple[str, DataFrame]:
     spark, root = data.sparkSession, scratch_path(data.sparkSession, "training")
     write_snapshot(data, root, "data")
     training.write_splits(read_snapshot(spark, root, "data"), root)
     parts = [read_snapshot(spark, root, name) for name in ("train", "test", "validation")]
     for label in labels:
-        result = training.train(*parts, label, root, CHECK_GRIDS, draws=1, folds=2)
+        result = training.train(*parts, label, root, models.GRIDS, draws=DRAWS, folds=FOLDS)
     return root, result
 
 

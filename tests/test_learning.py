@@ -160,3 +160,27 @@ def test_importance_and_curves(spark, numbers):
     line = [r.average for r in average.orderBy("value").collect()]
     assert line == sorted(line) and average.orderBy("value").first().centred == 0.0
     assert curves.count() == 400 * 8
+
+
+def test_registered_training_is_the_whole_search(spark, monkeypatch):
+    """The training queries go through all five grids, 30 draws as drawn, and three folds."""
+    from checks import learning
+
+    seen = {}
+
+    def fit(algorithm, candidates, held_out, *rest, **more):
+        seen[algorithm] = candidates, len(held_out)
+        return spark.createDataFrame([(0, "{}", 0.5, 0.5)], search.RESULT_SCHEMA)
+
+    monkeypatch.setattr(search, "search", fit)
+    rows = learning.m13(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.algorithm for r in rows) == sorted(models.GRIDS)
+    assert seen == {name: (models.candidates(grid, 30), 3) for name, grid in models.GRIDS.items()}
+
+    calls = []
+    monkeypatch.setattr(learning.training, "train", lambda *args, **more: calls.append((args[5], more)) or args[0])
+    monkeypatch.setattr(learning, "write_snapshot", lambda *a: None)
+    monkeypatch.setattr(learning, "read_snapshot", lambda *a: spark.range(1))
+    monkeypatch.setattr(learning.training, "write_splits", lambda *a: None)
+    learning._train(spark.range(1), ["label_1"])
+    assert calls == [(models.GRIDS, {"draws": 30, "folds": 3})]
