@@ -58,8 +58,8 @@ def p7(spark: Spark, sf: str) -> DataFrame:
 
 @query("p7_membership_long_list", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 = 2")
 def p7_long(spark: Spark, sf: str) -> DataFrame:
-    """A list beyond what is written into a filter."""
-    keys = [r.o_orderkey for r in a.table(spark, sf, "orders").filter("o_orderkey % 5 = 2").select("o_orderkey").collect()]
+    """A list beyond what is written into a filter stays a table."""
+    keys = a.table(spark, sf, "orders").filter("o_orderkey % 5 = 2").select("o_orderkey")
     return rel.filter_in(a.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", keys)
 
 

@@ -164,3 +164,18 @@ def test_landing_and_building(spark, tmp_path):
     assert read_snapshot(spark, root, "games").filter("season_start_year = 21").count() == 1
     with pytest.raises(ValueError, match="player_details"):
         landing.build_data(spark, root)
+
+
+def test_filter_by_a_table(spark, monkeypatch):
+    """Values in a table are joined, with repeats and nulls, and none of them come to the driver."""
+    from checks.relational import p7_long
+    from touchline.operators.relational import filter_in
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (4, "e")], "k long, v string")
+    wanted = spark.createDataFrame([(2,), (2,), (4,), (None,), (9,)], "other int")
+    got = filter_in(rows, "k", wanted)
+    assert got.columns == ["k", "v"] and sorted(r.v for r in got.collect()) == ["b", "c", "e"]
+    with monkeypatch.context() as m:
+        m.setattr(type(rows), "collect", lambda *_: 1 / 0)
+        found = p7_long(spark, "/root/testdata/sf0.001")
+    assert {r.o_orderkey % 5 for r in found.collect()} == {2}

@@ -19,8 +19,11 @@ def add_prefix(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def filter_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Rows whose value is in a list; long lists become a semi join instead of a literal list."""
+def filter_in(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataFrame:
+    """Rows whose value is in a list, or in the first column of a table; long lists and tables become a semi join."""
+    if isinstance(values, DataFrame):
+        kind = df.schema[column].dataType
+        return df.join(values.select(F.col(f"`{values.columns[0]}`").cast(kind).alias(column)), column, "left_semi")
     if len(values) <= MAX_LITERAL_LIST:
         return df.filter(F.col(column).isin(list(values)))
     schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
