@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
+from touchline.llm.hard_negatives import mine_hard_negatives, usable_vectors
 from touchline.llm.hmm import score_documents
 from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.licenses import licenses_sql, scan_licenses
@@ -137,3 +138,27 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_minhash")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), words=2)
+
+
+_VECTORS = """
+v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+      FROM (SELECT DISTINCT * FROM embeddings) WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+"""
+
+
+@query("op13_hard_negatives", f"""
+WITH {_VECTORS.strip()},
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3
+""")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    vec, label = F.col("vec_id"), F.col("label")
+    rows = usable_vectors(table(spark, sf, "embeddings"), label=F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mine_hard_negatives(rows, rows.filter(F.col("id") % 50 == 0))
