@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.conversations import damage, repair_report
 from touchline.llm.decontaminate import contamination_report
 from touchline.llm.exact_dedup import duplicate_groups, normalised
 from touchline.llm.hard_negatives import mine_hard_negatives, usable_vectors
@@ -162,3 +163,60 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
     vec, label = F.col("vec_id"), F.col("label")
     rows = usable_vectors(table(spark, sf, "embeddings"), label=F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
     return mine_hard_negatives(rows, rows.filter(F.col("id") % 50 == 0))
+
+
+def _edits_sql() -> str:
+    """Rows of the edit table: initial, state before, inserted turns and edit, cost, state after (n nothing, s, u, a)."""
+    after = {"n": "u", "s": "u", "u": "a", "a": "u"}
+    rows = []
+    for initial in "sua?":
+        for state in after:
+            rows.append((initial, state, "D", 2, state, ""))
+            at, said = state, ""
+            for inserted in range(3):
+                if initial == after[at] or (initial == "s" and at == "n"):
+                    rows.append((initial, state, "I" * inserted + "K", 5 * inserted, initial, said))
+                rows.append((initial, state, "I" * inserted + "R", 5 * inserted + 1, after[at], said))
+                at = after[at]
+                said += {"u": "user:", "a": "assistant:"}[at] + "|"
+    return ", ".join(str(r) for r in rows)
+
+
+@query("op12_conversation_repair", f"""
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), n)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS b
+      FROM conversations),
+c AS (SELECT k.*, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS lot FROM k, bits),
+d AS (SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+             CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE lot <> 0),
+o AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+             lag(role[1]) OVER w AS before FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN nth > 1 THEN 'd'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM o),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+             count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+             count(*) FILTER (i > 1 AND before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+e(initial, state, edit, price, after, said) AS (VALUES {_edits_sql()}),
+p AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 'n' AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM g
+  UNION ALL
+  SELECT conv_id, i, state, best.cost, best.audit, best.said FROM (
+    SELECT p.conv_id, f.i, e.after AS state, min({{'cost': p.cost + e.price + CASE WHEN fault = 't' AND e.edit <> 'D' THEN 5 ELSE 0 END, 'audit': p.audit || e.edit,
+      'said': CASE WHEN e.edit = 'D' THEN p.said ELSE list_concat(p.said, list_filter(string_split(e.said, '|'), lambda x: x <> ''),
+        [CASE WHEN e.edit[-1] = 'K' THEN f.role WHEN e.after = 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text]) END}}) AS best
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+    JOIN e ON e.state = p.state AND e.initial = CASE WHEN f.role[1] IN ('s', 'u', 'a') THEN f.role[1] ELSE '?' END AND (e.edit = 'D' OR fault NOT IN ('b', 'd'))
+    GROUP BY p.conv_id, f.i, e.after)),
+t AS (SELECT p.conv_id, min({{'cost': cost + CASE state WHEN 's' THEN 10 WHEN 'u' THEN 5 ELSE 0 END, 'audit': audit || CASE state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END,
+        'said': list_concat(said, CASE state WHEN 's' THEN ['user:', 'assistant:'] WHEN 'u' THEN ['assistant:'] ELSE [] END)}}) AS best
+      FROM p JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.n = p.i GROUP BY p.conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM a.conv_id
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    return repair_report(damage(rows), rows.select(F.col("conv_id").alias("conv")))
