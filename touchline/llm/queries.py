@@ -17,6 +17,7 @@ from touchline.llm.language import bucket, identify, learn_profiles
 from touchline.llm.licenses import licenses_sql, scan_licenses
 from touchline.llm.line_dedup import SHORTEST, THRESHOLD, line_report
 from touchline.llm.minhash import near_duplicates
+from touchline.llm.order_minhash import fingerprint_report
 from touchline.llm.packing import pack_documents
 from touchline.llm.sharding import assign_shards
 from touchline.llm.token_files import read_token_files, write_token_files
@@ -220,3 +221,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON g.conv_id IS
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations")
     return repair_report(damage(rows), rows.select(F.col("conv_id").alias("conv")))
+
+
+@query("op11_order_minhash")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf, "documents"))
