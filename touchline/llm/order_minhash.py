@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 #: Code points of a k-mer, entries of a fingerprint, k-mers of an entry.
 KMER, ENTRIES, TUPLE = 6, 64, 2
-#: Bits of a k-mer's hash and of its place in the text, packed into one positive long.
-HASH_BITS, PLACE_BITS = 36, 27
-CHUNK = 64
+#: Bits of a k-mer's hash and of its place in the text, packed into one long.
+HASH_BITS, PLACE_BITS = 37, 27
+#: Code points whose k-mers are taken at once.
+CHUNK = 4096
 #: Documents of a block of the id order, and the greatest number of blocks; blocks become larger beyond.
 BLOCK_ROWS, MOST_BLOCKS = 512, 100_000
 
@@ -23,22 +24,19 @@ def _let(value: Column, body) -> Column:
 def packed_kmers(text: Column, kmer: int = KMER) -> Column:
     """Hash and place of every k-mer of a text, as longs; a shorter text is one k-mer, an empty text has none.
 
-    The text is cut into chunks once; a k-mer is then found inside its chunk, so the work is in proportion to the length.
+    The text is cut into chunks, so that the k-mers of one chunk only are held as text.
     """
-    mask = (1 << HASH_BITS) - 1
-
-    def pack(hashed: Column, place: Column) -> Column:
-        return F.shiftleft(hashed.bitwiseAND(F.lit(mask)), PLACE_BITS) + place
-
     def of_chunk(chunk: Column, at: Column, ahead: Column) -> Column:
-        return _let(F.concat(chunk, F.coalesce(F.left(ahead, F.lit(kmer - 1)), F.lit(""))), lambda t: F.when(
-            F.length(t) >= kmer, F.transform(F.sequence(F.lit(1), F.length(t) - kmer + 1), lambda i: pack(
-                F.xxhash64(F.substring(t, i, F.lit(kmer))), at * CHUNK + i))).otherwise(F.array().cast("array<long>")))
+        base = at.cast("long") * CHUNK
+        whole = F.concat(chunk, F.coalesce(F.left(ahead, F.lit(kmer - 1)), F.lit("")))
+        grams = F.regexp_extract_all(whole, F.lit(f"(?s)(?=(.{{{kmer}}}))."), F.lit(1))
+        return _let(base, lambda first: F.transform(grams, lambda gram, i: F.shiftleft(F.xxhash64(gram), PLACE_BITS) + first + i))
 
     chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
     many = _let(chunks, lambda cs: F.flatten(F.transform(cs, lambda c, at: of_chunk(c, at, F.get(cs, at + 1)))))
-    one = F.array(pack(F.xxhash64(text), F.lit(1)))
-    return F.when(F.length(text) >= kmer, many).when(F.length(text) > 0, one).otherwise(F.array().cast("array<long>"))
+    one = F.array(F.shiftleft(F.xxhash64(text), PLACE_BITS))
+    return F.when(F.length(text) >= kmer, many).when(F.length(text) > 0, one).otherwise(
+        F.slice(one, 1, 0))  # of a type without nulls, whose arrays sort as plain longs
 
 
 def with_signature(df: DataFrame, text: str, out: str, kmer: int = KMER, entries: int = ENTRIES, size: int = TUPLE) -> DataFrame:
@@ -53,24 +51,35 @@ def with_signature(df: DataFrame, text: str, out: str, kmer: int = KMER, entries
         raise ValueError("the number of entries must be a power of two")
 
     def number(x: Column) -> Column:
-        return F.shiftright(x, HASH_BITS + PLACE_BITS - bits)
+        return F.shiftrightunsigned(x, HASH_BITS + PLACE_BITS - bits)
 
     low = (1 << PLACE_BITS) - 1
-    # sorted by entry, hash and place: a later place of the same hash is a later occurrence
+    # sorted by entry, hash and place: a later place of the same hash is a later occurrence; longs of a negative sign come first
     df = df.withColumn("omh_sorted__", F.sort_array(packed_kmers(F.col(text), kmer)))
-    ordered = F.col("omh_sorted__")
-    df = df.withColumn("omh_least__", F.filter(ordered, lambda x, j: (j < size) | (number(F.get(ordered, j - size)) != number(x)))).drop("omh_sorted__")
+    ordered, count = F.col("omh_sorted__"), F.size("omh_sorted__")
+
+    steps = F.filter(F.array(*[F.lit(1 << p) for p in reversed(range(PLACE_BITS + 1))]), lambda step: step <= count)
+
+    def start(bound: Column, steps: Column) -> Column:
+        """How many of the sorted longs lie below a bound, by halving steps."""
+        return F.aggregate(steps, F.lit(0), lambda found, step: F.when(
+            (found + step <= count) & (F.get(ordered, found + step - 1) < bound), found + step).otherwise(found))
+
+    bounds = F.array(*[F.lit((e - (entries // 2)) << (HASH_BITS + PLACE_BITS - bits)) for e in range(entries)])
+    taken = _let(steps, lambda own: F.transform(bounds, lambda bound: F.slice(ordered, start(bound, own) + 1, size)))
+    own = F.transform(taken, lambda some, e: F.filter(some, lambda x: number(x) == (e + entries // 2) % entries))
+    df = df.withColumn("omh_least__", F.flatten(own)).drop("omh_sorted__")
     least = F.col("omh_least__")
 
     def entry(j: Column) -> Column:
         own = number(F.get(least, j))
         chosen = F.filter(F.slice(least, j + 1, size), lambda y: number(y) == own)
-        by_place = F.sort_array(F.transform(chosen, lambda y: F.shiftleft(y.bitwiseAND(F.lit(low)), HASH_BITS) + F.shiftright(y, PLACE_BITS)))
+        by_place = F.sort_array(F.transform(chosen, lambda y: F.shiftleft(y.bitwiseAND(F.lit(low)), HASH_BITS).bitwiseOR(F.shiftrightunsigned(y, PLACE_BITS))))
         hashes = F.transform(by_place, lambda z: z.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
         return F.shiftleft(own, 32) + F.xxhash64(hashes).bitwiseAND(F.lit(0xFFFFFFFF))
 
     heads = F.filter(F.transform(least, lambda x, j: F.when((j > 0) & (number(F.get(least, j - 1)) == number(x)), -1).otherwise(j)), lambda j: j >= 0)
-    return df.withColumn(out, F.transform(heads, entry)).drop("omh_least__")
+    return df.withColumn(out, F.sort_array(F.transform(heads, entry))).drop("omh_least__")
 
 
 def fingerprint(signature: Column) -> Column:
