@@ -191,7 +191,7 @@ SMALL_PARAMS = {
     "Decision Tree": {"maxDepth": 4, "impurity": "gini"},
     "Random Forest": {"numTrees": 10, "maxDepth": 4},
     "Gradient Boosting": {"maxIter": 3, "maxDepth": 3, "stepSize": 0.03},
-    "Regularised Boosting": {"maxIter": 3, "maxDepth": 3, "stepSize": 0.03, "minInfoGain": 0.1},
+    "Regularised Boosting": {"maxIter": 3, "maxDepth": 3, "stepSize": 0.03, "gamma": 0.1},
 }
 
 
@@ -216,11 +216,9 @@ def _search(spark: Spark, sf: str) -> DataFrame:
     """All five algorithms: one row per algorithm and candidate."""
     rows = search.stratified_folds(a.numbers(spark, sf), ["vec_id"], "y", FOLDS)
     plan = preprocess.build_preprocessor(rows, [], NUMBER_FAMILIES, exclude=("vec_id", "y", "fold"))
-    held_out, found = search.prepare_folds(rows, "y", plan.fit), []
-    for name, grid in models.GRIDS.items():
-        results = search.search(name, models.candidates(grid, DRAWS), held_out)
-        found.append(results.select(F.lit(name).alias("algorithm"), "*"))
-    return reduce(DataFrame.unionByName, found)
+    held_out = search.prepare_folds(rows, "y", plan.fit_folds(rows, search.FOLD))
+    found = search.search_all({name: models.candidates(grid, DRAWS) for name, grid in models.GRIDS.items()}, held_out)
+    return reduce(DataFrame.unionByName, [results.select(F.lit(name).alias("algorithm"), "*") for name, results in found.items()])
 
 
 @query("m13_parameter_search")
@@ -428,6 +426,57 @@ def m12_means(spark: Spark, sf: str) -> DataFrame:
     return scored
 
 
+# One flag and one split: each round adds to a flag's margin the rate times its sum of first orders over that of second orders.
+BOOSTED = {
+    "log_loss": ("Gradient Boosting", {"loss": "log_loss", "maxDepth": 1, "stepSize": 0.3, "minInstancesPerNode": 1}),
+    "exponential": ("Gradient Boosting", {"loss": "exponential", "maxDepth": 1, "stepSize": 0.3, "minInstancesPerNode": 1}),
+    "second": ("Regularised Boosting", {"maxDepth": 1, "stepSize": 0.5, "minChildWeight": 1, "gamma": 0.1, "regLambda": 1.0}),
+    "pruned": ("Regularised Boosting", {"maxDepth": 1, "stepSize": 0.5, "minChildWeight": 1, "gamma": 1e9, "regLambda": 1.0}),
+}
+
+
+def _boosted_sql() -> str:
+    steps = {
+        "log_loss": ("LN(t.p / (1 - t.p))", lambda f: f"0.3 * (m.p - 1 / (1 + EXP(-{f}))) / (1 / (1 + EXP(-{f})) * (1 - 1 / (1 + EXP(-{f}))))", 1),
+        "exponential": ("LN(t.p / (1 - t.p)) / 2", lambda f: f"0.3 * (m.p * EXP(-{f}) - (1 - m.p) * EXP({f})) / (m.p * EXP(-{f}) + (1 - m.p) * EXP({f}))", 2),
+        "second": ("CAST(0 AS DOUBLE)", lambda f: f"0.5 * m.n * (m.p - 1 / (1 + EXP(-{f}))) / (m.n * (1 / (1 + EXP(-{f})) * (1 - 1 / (1 + EXP(-{f})))) + 1)", 1),
+        "pruned": ("CAST(0 AS DOUBLE)", lambda f: f"0.5 * t.n * (t.p - 1 / (1 + EXP(-{f}))) / (t.n * (1 / (1 + EXP(-{f})) * (1 - 1 / (1 + EXP(-{f})))) + 1)", 1),
+    }
+    parts = []
+    for model, (start, step, slope) in steps.items():
+        parts.append(f"""SELECT '{model}' AS model, x, 1 / (1 + EXP(-{slope} * f1)) AS p1, 1 / (1 + EXP(-{slope} * f2)) AS p2 FROM (
+  SELECT x, f1, f1 + {step('f1')} AS f2 FROM (SELECT m.x, f0 + {step('f0')} AS f1 FROM m, t, (SELECT {start} AS f0 FROM t) s) m1 JOIN m USING (x), t)""")
+    return f"""WITH d AS ({FLAGS}), m AS (SELECT x, COUNT(*) AS n, AVG(y) AS p FROM d GROUP BY x), t AS (SELECT COUNT(*) AS n, AVG(y) AS p FROM d),
+scores AS ({" UNION ALL ".join(parts)})
+SELECT model, rounds, o_orderkey, ROUND(CASE WHEN rounds = 1 THEN p1 ELSE p2 END + 1e-9, 4) AS p FROM d JOIN scores USING (x), (VALUES (1), (2)) AS v(rounds)"""
+
+
+@query("m12_boosted_flags", _boosted_sql())
+def m12_boosted(spark: Spark, sf: str) -> DataFrame:
+    """One and two rounds of every kind of boosting on one flag, where each has a closed form; a split below gamma goes."""
+    rows, scored = flags(spark, sf), None
+    n = rows.count()
+    for model, (algorithm, params) in BOOSTED.items():
+        for rounds in (1, 2):
+            part = models.build(algorithm, params | {"maxIter": rounds}, n).fit(rows).transform(rows).select(
+                F.lit(model).alias("model"), F.lit(rounds).alias("rounds"), "o_orderkey", F.round(F.get(vector_to_array("probability"), 1) + 1e-9, 4).alias("p"))
+            scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
+@query("m12_forest_means", f"""WITH d AS ({FLAGS}), m AS (SELECT x, AVG(y) AS p FROM d GROUP BY x)
+SELECT numTrees, o_orderkey, ROUND(p + 1e-9, 4) AS p FROM d JOIN m USING (x), (VALUES (1), (30)) AS v(numTrees)""")
+def m12_forest(spark: Spark, sf: str) -> DataFrame:
+    """Without drawn rows every tree of a forest gives the group means."""
+    rows, scored = flags(spark, sf), None
+    for trees in (1, 30):
+        fitted = models.build("Random Forest", {"bootstrap": False, "numTrees": trees, "maxDepth": 3, "featureSubsetStrategy": "all"}, 1).fit(rows)
+        part = fitted.transform(rows).select(
+            F.lit(trees).alias("numTrees"), "o_orderkey", F.round(F.get(vector_to_array("probability"), 1) + 1e-9, 4).alias("p"))
+        scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
 @query("s14_saved_group_means", f"WITH d AS ({FLAGS}), m AS (SELECT x, AVG(y) AS p FROM d GROUP BY x) SELECT o_orderkey, {r6('p')} AS p FROM d JOIN m USING (x)")
 def s14_means(spark: Spark, sf: str) -> DataFrame:
     """A saved and loaded tree gives the group means."""

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from touchline.ml import explain, metrics, models, preprocess, search, significance
+from touchline.ml.fold_statistics import ALL, held_out_quantiles
 from touchline.ml.split import sizes, split
 from touchline.operators.quantiles import exact_quantiles
 
@@ -107,6 +108,42 @@ def test_preprocessing_order_and_filling(spark, numbers, tmp_path):
     assert np.allclose(np.sort(first[:, 1]), np.sort((filled - filled.mean()) / filled.std(ddof=0)))
 
 
+def test_held_out_statistics_are_those_of_the_rows_left(spark, numbers):
+    """Medians, means, deviations and axes of every fold held out, and of all rows, against one fit each."""
+    rows = search.stratified_folds(numbers, ["id"], "y").withColumn("same", F.lit(7.5)).withColumn("void", F.lit(None).cast("double"))
+    rows = rows.withColumn("odd", F.when(F.col("id") % 7 == 0, float("nan")).otherwise(F.col("a") * -1e6)).cache()
+    columns = ["a", "b", "few", "noise", "same", "void", "odd"]
+    fills = held_out_quantiles(rows, columns, [0.0, 0.3, 0.5, 1.0], "fold")
+    plan = preprocess.build_preprocessor(rows, ["a", "b", "same", "void"], {"tbl": ["nois", "few", "b", "void"], "games": ["a", "odd"]}, exclude=("id", "y", "fold", "text"))
+    fitted = plan.fit_folds(rows, "fold")
+    assert set(fitted) == set(fills) == {ALL, 0, 1, 2}
+    for fold, model in fitted.items():
+        left = rows if fold == ALL else rows.filter(F.col("fold") != fold)
+        local = left.toPandas()
+        for c in columns:
+            known = local[c].astype(float).dropna()
+            assert (c in fills[fold]) == (len(known) > 0)
+            if len(known):
+                assert fills[fold][c] == pytest.approx(np.quantile(known, [0.0, 0.3, 0.5, 1.0]), rel=1e-15)
+        if fold == ALL:
+            left = rows.fillna(fills[fold]["odd"][2], ["odd"])  # the plain fit keeps NaN
+        one = plan.fit(left.withColumn("odd", F.nanvl("odd", F.lit(fills[fold]["odd"][2]))))
+        clean = rows.withColumn("odd", F.nanvl("odd", F.lit(None).cast("double")))
+        ours, theirs = (np.array([r.v for r in m.transform(clean).orderBy("id").select(vector_to_array("features").alias("v")).collect()]) for m in (model, one))
+        assert ours.shape == theirs.shape
+        assert np.allclose(ours[:, :3], theirs[:, :3], rtol=1e-9, atol=1e-9)
+        assert np.allclose(np.abs(ours), np.abs(theirs), rtol=1e-7, atol=1e-7)
+
+
+def test_stages_of_folds_can_be_stored(spark, numbers, tmp_path):
+    plan = preprocess.build_preprocessor(numbers, ["a", "text"], {"tbl": ["nois", "few"]}, exclude=("id", "y"))
+    model = plan.fit_folds(numbers)[ALL]
+    model.write().overwrite().save(str(tmp_path / "m"))
+    out, again = (m.transform(numbers) for m in (model, PipelineModel.load(str(tmp_path / "m"))))
+    assert preprocess.feature_names(again)[:3] == ["a", "tbl_pca_0", "tbl_pca_1"]
+    assert sorted(map(str, out.select("id", "features").collect())) == sorted(map(str, again.select("id", "features").collect()))
+
+
 def test_folds_are_stratified(spark, numbers):
     folds = search.stratified_folds(numbers, ["id"], "y").groupBy("fold").agg(F.sum("y").alias("s"), F.count("*").alias("n")).collect()
     assert len(folds) == 3 and max(f.s for f in folds) - min(f.s for f in folds) <= 1
@@ -115,7 +152,9 @@ def test_folds_are_stratified(spark, numbers):
 
 
 def test_candidates():
-    assert len(models.candidates(models.GRIDS["Decision Tree"])) == 2 * 9 * 5
+    assert len(models.candidates(models.GRIDS["Decision Tree"])) == 2 * 9 * 5 * 3
+    assert len(models.candidates(models.GRIDS["Gradient Boosting"])) == 2 * 6 * 6 * 8 * 3
+    assert len(models.candidates(models.GRIDS["Regularised Boosting"])) == 8 * 5 * 3 * 3 * 3 * 3
     drawn = models.candidates(models.GRIDS["Random Forest"], 30, seed=1)
     assert len({str(c) for c in drawn}) == 30 and drawn == models.candidates(models.GRIDS["Random Forest"], 30, seed=1)
 
@@ -168,11 +207,11 @@ def test_registered_training_is_the_whole_search(spark, monkeypatch):
 
     seen = {}
 
-    def fit(algorithm, candidates, held_out, *rest, **more):
-        seen[algorithm] = candidates, len(held_out)
-        return spark.createDataFrame([(0, "{}", 0.5, 0.5)], search.RESULT_SCHEMA)
+    def fit(candidates, held_out, *rest, **more):
+        seen.update({name: (own, len(held_out)) for name, own in candidates.items()})
+        return {name: spark.createDataFrame([(0, "{}", 0.5, 0.5)], search.RESULT_SCHEMA) for name in candidates}
 
-    monkeypatch.setattr(search, "search", fit)
+    monkeypatch.setattr(search, "search_all", fit)
     rows = learning.m13(spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.algorithm for r in rows) == sorted(models.GRIDS)
     assert seen == {name: (models.candidates(grid, 30), 3) for name, grid in models.GRIDS.items()}

@@ -6,13 +6,18 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import PCA, ElementwiseProduct, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.ml.fold_statistics import ALL, fold_moments, held_out_quantiles
 from touchline.operators.quantiles import exact_quantiles
 from touchline.operators.relational import cols_like, long_form, with_names
 
@@ -134,6 +139,14 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> list[Transformer]:
     return [indexer, encoder]
 
 
+def signed_axes(correlation: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` axes of a covariance or correlation matrix, each signed so that its largest loading is positive."""
+    _, vectors = np.linalg.eigh(correlation)
+    axes = vectors[:, ::-1][:, :k]
+    strongest = np.abs(axes).argmax(axis=0)
+    return axes * np.where(axes[strongest, np.arange(axes.shape[1])] >= 0, 1.0, -1.0)
+
+
 @dataclass(frozen=True)
 class Preprocessor:
     """Selected numeric columns, components of each family, one-hot text columns, in this order."""
@@ -167,6 +180,79 @@ class Preprocessor:
         return PipelineModel(stages)
 
 
+    def fit_folds(self, df: DataFrame, fold: str | None = None) -> dict[int, PipelineModel]:
+        """The fitted stages for each fold held out, and for all rows (``ALL``), from statistics that add up.
+
+        Medians, means, deviations and the axes of every family come from one pass for the moments and a few for the medians, for all
+        folds together; each equals :meth:`fit` on the rows that are left. Text columns are counted per fold held out.
+        """
+        columns = list(dict.fromkeys([*self.numeric, *[c for f in self.families.values() for c in f]]))
+        fills = held_out_quantiles(df, columns, [0.5], fold)
+        if not columns:
+            folds = [] if fold is None else [r[0] for r in df.select(fold).distinct().collect() if r[0] is not None and r[0] >= 0]
+            fills = {f: {} for f in [ALL, *folds]}
+        shift = {c: fills[ALL].get(c, [0.0])[0] for c in columns}
+        moments = fold_moments(df, columns, shift, fold) if columns else {}
+        empty = moments[ALL] - moments[ALL] if moments else None
+        models = {}
+        for held_out, known in fills.items():
+            left = df if held_out == ALL else df.filter(F.col(fold) != held_out)
+            fill = {c: known[c][0] for c in columns if c in known}
+            scale: dict[str, tuple[float, float]] = {}
+            axes: dict[str, np.ndarray] = {}
+            if fill:
+                of = moments[ALL] if held_out == ALL else moments[ALL] - moments.get(held_out, empty)
+                middle = np.array([shift[c] for c in columns])
+                mean, cov = of.filled(np.array([fill.get(c, 0.0) for c in columns]) - middle)
+                deviation = np.sqrt(np.diag(cov))
+                deviation = np.where(deviation > 0, deviation, 1.0)
+                scale = {c: (float(mean[i] + middle[i]), float(deviation[i])) for i, c in enumerate(columns) if c in fill}
+                correlation = cov / np.outer(deviation, deviation)
+                for name, members in self.families.items():
+                    own = [columns.index(c) for c in members if c in fill]
+                    if own:
+                        axes[name] = signed_axes(correlation[np.ix_(own, own)], min(self.components, len(own)))
+            models[held_out] = self._stages(left, fill, scale, modes(left, self.categorical), axes)
+        return models
+
+    def _stages(self, df: DataFrame, fill: Mapping[str, float], scale: Mapping[str, tuple[float, float]], modal: Mapping[str, str],
+                axes: Mapping[str, np.ndarray]) -> PipelineModel:
+        scaling = SQLTransformer(statement=_sql_scaling(fill, scale, modal))
+        stages: list = [scaling]
+        inputs = [f"z_{c}" for c in self.numeric if c in fill]
+        for name, loadings in axes.items():
+            stages.append(VectorAssembler(inputCols=[f"z_{c}" for c in self.families[name] if c in fill], outputCol=f"__{name}"))
+            stages.append(Rotation(f"__{name}", f"{name}_pca", loadings.tolist()))
+            inputs.append(f"{name}_pca")
+        stages += one_hot(scaling.transform(df), [f"m_{c}" for c in modal]) if modal else []
+        inputs += [f"m_{c}_hot" for c in modal]
+        if not inputs:
+            raise ValueError("no features left")
+        return PipelineModel([*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)])
+
+
+class Rotation(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Multiplies a vector column by a matrix, entry by entry in column expressions."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "vector to rotate")
+    outputCol = Param(Params._dummy(), "outputCol", "rotated vector")
+    loadings = Param(Params._dummy(), "loadings", "one list for each entry of the input")
+
+    def __init__(self, inputCol: str = "", outputCol: str = "", loadings: Sequence[Sequence[float]] = ()):  # noqa: N803
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, loadings=[list(map(float, row)) for row in loadings])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rows = self.getOrDefault(self.loadings)
+        x, width = vector_to_array(self.getOrDefault(self.inputCol)), len(rows[0])
+        zipped = [F.lit([row[k] for row in rows]) for k in range(width)]
+        parts = [F.aggregate(F.zip_with(x, axis, lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v) for axis in zipped]
+        out = self.getOrDefault(self.outputCol)
+        names = [{"idx": i, "name": str(i)} for i in range(width)]
+        meta = {"ml_attr": {"attrs": {"numeric": names}, "num_attrs": width}}
+        return dataset.withColumn(out, array_to_vector(F.array(*parts)).alias(out, metadata=meta)).withMetadata(out, meta)
+
+
 def build_preprocessor(
     df: DataFrame,
     selected: Sequence[str],
