@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -161,7 +162,7 @@ def test_search_table(spark):
     deep = found["Decision Tree"].orderBy("candidate").collect()
     assert deep[1].mean_train_score > deep[0].mean_train_score
     lines = found["Logistic Regression"].orderBy("candidate").collect()
-    assert lines[1].mean_test_score == lines[2].mean_test_score and lines[0].mean_train_score != lines[1].mean_train_score
+    assert lines[0].mean_test_score == lines[1].mean_test_score == lines[2].mean_test_score
 
 
 @pytest.mark.parametrize("name", list(CANDIDATES))
@@ -177,3 +178,15 @@ def test_curves_are_the_scores_of_changed_rows(spark, name):
             got = {r.id: r.p for r in curves.filter(F.col("value") == g).collect()}
             assert got == pytest.approx(want, abs=1e-9)
             assert average.filter(F.col("value") == g).first().average == pytest.approx(sum(want.values()) / len(want))
+
+
+@pytest.mark.parametrize("mix", [0.0, 1.0, 0.5])
+def test_logistic_steps_end_where_the_library_does(spark, mix):
+    df = features(spark).repartition(5)
+    for c in (0.05, 3.0):
+        ours = models.build("Logistic Regression", {"C": c, "elasticNetParam": mix, "maxIter": 10}, 240).fit(df)
+        theirs = LogisticRegression(standardization=False, regParam=1 / (c * 240), elasticNetParam=mix, maxIter=5000, tol=1e-13).fit(df)
+        assert ours.coefficients.toArray() == pytest.approx(theirs.coefficients.toArray(), abs=2e-5)
+        assert ours.intercept == pytest.approx(theirs.intercept, abs=2e-5)
+        p = F.get(vector_to_array("probability"), 1)
+        assert sorted(r[0] for r in ours.transform(df).select(p).collect()) == pytest.approx(sorted(r[0] for r in theirs.transform(df).select(p).collect()), abs=1e-5)

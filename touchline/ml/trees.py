@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.ml.growth import BINS, CUTS, Boost, Grown, Spec, Tree, choose, drawn, frontier, grow, histograms, member_tree, poisson, root, rounded
+from touchline.ml.growth import BINS, CUTS, Boost, Grown, Spec, Tree, choose, drawn, frontier, grow, histograms, may_split, member_tree, poisson, root, rounded
 from touchline.ml.growth import Level, Splits
 from touchline.session import scratch_path
 
@@ -255,11 +255,6 @@ class Growing:
         return self.job.boost.derivatives(self.margin(rows), rows.y, rows.fit)
 
 
-def _open(level: Level, spec: Spec) -> np.ndarray:
-    live = (level.n >= 2) & (level.mask != 0)
-    return live & (level.s > 0) & (level.s < level.n) if spec.criterion in ("gini", "entropy") else live
-
-
 def _in_step(binned: Binned, roots: list[Growing]) -> None:
     """Grow all roots level by level; each level is one aggregation of histograms over the blocks and one row back for each split."""
     spark = binned.spark
@@ -312,7 +307,7 @@ def _in_step(binned: Binned, roots: list[Growing]) -> None:
                     continue
                 level, sums = r.grown.levels[-1], r.sums(rows)
                 own, nodes = frontier(r.grown, rows.bins)
-                going = _open(level, r.spec)[nodes] & (sums[0][own] > 0)
+                going = may_split(level, r.spec)[nodes] & (sums[0][own] > 0)
                 present, nodes = np.unique(nodes[going], return_inverse=True)
                 tried = drawn(level.path[present], width, r.spec.features, r.spec.seed)
                 hist = histograms(rows.bins, own[going], nodes, len(present), sums, tried)
