@@ -85,9 +85,8 @@ def s3(spark: Spark, sf: str) -> DataFrame:
 
 @query("s3_player_ids_by_name", f"SELECT * FROM ({NAMES_SQL}) WHERE id % 3 = 1 AND playername IS NOT NULL")
 def s3_by_name(spark: Spark, sf: str) -> DataFrame:
-    """The names asked for, as a user has them: a list."""
-    names = [r.n for r in a.table(spark, sf, "supplier").filter("s_suppkey % 3 = 1 and s_nationkey != 3")
-             .select(F.concat_ws(" ", "s_name", "s_nationkey").alias("n")).collect()]
+    """The names asked for are a table."""
+    names = a.table(spark, sf, "supplier").filter("s_suppkey % 3 = 1 and s_nationkey != 3").select(F.concat_ws(" ", "s_name", "s_nationkey").alias("n"))
     return landed.read_player_ids(spark, land_elements(spark, sf), names=names, multi_line=False)
 
 
@@ -98,7 +97,7 @@ def s4(spark: Spark, sf: str) -> DataFrame:
 
 @query("s4_player_names_by_id", f"SELECT * FROM ({NAMES_SQL}) WHERE id % 4 = 2")
 def s4_by_id(spark: Spark, sf: str) -> DataFrame:
-    ids = [r.s_suppkey for r in a.table(spark, sf, "supplier").filter("s_suppkey % 4 = 2").select("s_suppkey").collect()]
+    ids = a.table(spark, sf, "supplier").filter("s_suppkey % 4 = 2").select("s_suppkey")
     return landed.read_player_names(spark, land_elements(spark, sf), ids=ids, multi_line=False)
 
 
@@ -114,7 +113,7 @@ def land_season(rows: DataFrame, table: str, season: int) -> str:
 def s5_archived(spark: Spark, sf: str) -> DataFrame:
     """An archived season, and of it the players with certain names."""
     players = landed.read_player_info(spark, land_elements(spark, sf), multi_line=False).select("id", "first_name", "element_type", "playername")
-    names = [r.playername for r in players.filter("id % 2 = 0 and playername is not null").select("playername").collect()]
+    names = players.filter("id % 2 = 0 and playername is not null").select("playername")
     return landed.read_player_info(spark, land_season(players, "player_info", 19), names=names, season=19)
 
 
@@ -195,7 +194,7 @@ def s2_archived(spark: Spark, sf: str) -> DataFrame:
 def s7_archived(spark: Spark, sf: str) -> DataFrame:
     """An archived season, and of it the players with certain ids."""
     rows = a.details(spark, sf).filter("season_start_year = 1998").select(F.col("element").alias("playerid"), "fixture", "minutes", "goals_scored")
-    ids = [r.s_suppkey for r in a.table(spark, sf, "supplier").filter("s_suppkey % 5 = 3").select("s_suppkey").collect()]
+    ids = a.table(spark, sf, "supplier").filter("s_suppkey % 5 = 3").select("s_suppkey")
     return landed.read_player_details(spark, land_season(rows, "player_details", 1998), ids=ids, season=1998)
 
 
@@ -207,7 +206,7 @@ WHERE element % 6 = 2 AND playername IS NOT NULL""",
 def s7_by_name(spark: Spark, sf: str) -> DataFrame:
     path = land(a.details(spark, sf), "history", chunk_of("fixture"), ["element", "fixture", "minutes"], "history", "element")
     players = landed.read_player_ids(spark, land_elements(spark, sf), multi_line=False)
-    names = [r.playername for r in players.filter("id % 6 = 2 and playername is not null").select("playername").collect()]
+    names = players.filter("id % 6 = 2 and playername is not null").select("playername")
     return landed.read_player_details(spark, path, players, names=names, multi_line=False).select("element", "fixture", "minutes", "playername")
 
 

@@ -93,14 +93,14 @@ def _named(elements: DataFrame) -> DataFrame:
 
 
 def read_player_ids(
-    spark: SparkSession, path: str, names: Sequence[str] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, names: Sequence[str] | DataFrame | None = None, multi_line: bool = True
 ) -> DataFrame:
     players = _named(_read_items(spark, path, "elements", ELEMENTS, multi_line)).select("playername", "id")
     return players if names is None else filter_in(players, "playername", names)
 
 
 def read_player_names(
-    spark: SparkSession, path: str, ids: Sequence[int] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, ids: Sequence[int] | DataFrame | None = None, multi_line: bool = True
 ) -> DataFrame:
     players = read_player_ids(spark, path, multi_line=multi_line)
     return players if ids is None else filter_in(players, "id", ids)
@@ -109,7 +109,7 @@ def read_player_names(
 def read_player_info(
     spark: SparkSession,
     path: str,
-    names: Sequence[str] | None = None,
+    names: Sequence[str] | DataFrame | None = None,
     season: int | None = None,
     items: T.StructType = ELEMENTS,
     multi_line: bool = True,
@@ -138,7 +138,7 @@ def _player_documents(
 
 
 def _with_names(
-    documents: DataFrame, field: str, players: DataFrame, ids: Sequence[int] | None, names: Sequence[str] | None
+    documents: DataFrame, field: str, players: DataFrame, ids: Sequence[int] | DataFrame | None, names: Sequence[str] | DataFrame | None
 ) -> DataFrame:
     """Select players while rows are still whole documents, then flatten."""
     if ids is not None:
@@ -153,7 +153,7 @@ def read_player_hist(
     spark: SparkSession,
     path: str,
     players: DataFrame,
-    ids: Sequence[int] | None = None,
+    ids: Sequence[int] | DataFrame | None = None,
     items: T.StructType = HISTORY_PAST,
     multi_line: bool = True,
 ) -> DataFrame:
@@ -166,8 +166,8 @@ def read_player_details(
     spark: SparkSession,
     path: str,
     players: DataFrame | None = None,
-    ids: Sequence[int] | None = None,
-    names: Sequence[str] | None = None,
+    ids: Sequence[int] | DataFrame | None = None,
+    names: Sequence[str] | DataFrame | None = None,
     season: int | None = None,
     items: T.StructType = HISTORY,
     multi_line: bool = True,
