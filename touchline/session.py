@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -38,11 +35,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="touchline-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def in_threads(spark: SparkSession, run: Callable, items: Sequence, parallelism: int = 4) -> list:
-    """Results of independent Spark jobs, submitted a few at a time, in the order of the items."""
-    if len(items) < 2:
-        return [run(item) for item in items]
-    with ThreadPool(min(parallelism, len(items))) as pool:
-        return pool.map(inheritable_thread_target(spark)(run), items, chunksize=1)
