@@ -205,6 +205,35 @@ def test_scores(docs, rows, empty, known):
         assert hmm.score_documents(empty, bucket, rounds=1).count() == 0
 
 
+def test_scores_come_from_all_training_texts(spark, tmp_path):
+    """The rounds over partitions give the model of a plain loop over all texts, and score is its probability."""
+    rng = np.random.default_rng(12)
+    kinds = [[f"{k}{n}" for n in range(60)] for k in "ab"]
+    rows = [(i, " ".join(rng.choice(kinds[rng.integers(2)], rng.integers(1, 40)))) for i in range(2600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.score for r in hmm.score_documents(table, F.col("doc_id") % 13 == 0, states=3, classes=50, rounds=3).collect()}
+    path = f"file://{tmp_path}/counts"
+    hmm.count_tokens(table.filter("doc_id % 13 <> 0"), path)
+    v, _ = hmm.load_vocabulary(spark.read.parquet(path), 50, 1 << 20)
+
+    def classes(texts):
+        raw, bounds = hmm.utf8(hmm.pa.array(texts))
+        hashes, cut = hmm._tokens(raw, bounds)
+        return hmm.Lookup(v.hashes)(hashes), cut
+
+    place, cut = classes([t for i, t in rows if i % 13])
+    model, prior = hmm.start_model(v, 3), hmm.prior_of(v)
+    for _ in range(3):
+        seen = hmm.Expected.none(3, v.classes)
+        seen.add(model, v.class_of(place), cut)
+        model = seen.model(prior)
+    for i, t in rows[:200]:
+        place, _ = classes([t])
+        own = v.class_of(place)
+        rare = [math.log((v.counts[p] + 1) / (v.rare_tokens + v.rare_words + 1)) for p, c in zip(place, own, strict=True) if c == v.classes]
+        assert math.isclose(got[i], (brute_log10(model, own) + sum(rare)) / math.log(10), rel_tol=1e-9), i
+
+
 def test_model_is_a_distribution(spark, docs):
     """Over all words of the vocabulary and one unknown, the next word's probabilities sum to one."""
     texts = docs.filter("doc_id is not null").select("text")

@@ -21,13 +21,14 @@ STATES = 8
 CLASSES = 1 << 14
 #: Words whose training counts are broadcast; the others are joined. 16 bytes each.
 KNOWN = 1 << 20
-#: Baum-Welch rounds over all training texts, and before them over the sample that starts it.
-ROUNDS = 2
-START_ROUNDS = 15
-#: Training documents in that sample, about; drawn by a hash of their id, and never more than twice as many.
-START_DOCS = 1_000
+#: Baum-Welch rounds, each over all training texts.
+ROUNDS = 17
 #: Ids of a training sequence; longer texts are trained on as several.
 PIECE = 512
+#: Tokens whose probabilities a training task holds at once.
+RUN = 350_000
+#: Bytes of text in a row of the written sequences; a longer text has one by itself.
+ROW = 1 << 18
 END = np.uint64(0x5EED0F7E47)  # the token that ends a text
 
 
@@ -107,13 +108,13 @@ def log_likelihood(model: Model, classes: np.ndarray, bounds: np.ndarray) -> np.
     """Natural log probabilities of whole class sequences; every one has at least one class."""
     s = Sequences(classes, bounds[:-1], np.diff(bounds))
     total = np.zeros(len(bounds) - 1)
-    alpha = np.empty((0, len(model.start)))
+    emit, move, alpha = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T), model.start[:, None]
     for t in range(s.steps):
         ids = s.at(t)
-        alpha = (alpha[:len(ids)] @ model.move if t else model.start) * model.emit[ids]
-        scale = alpha.sum(axis=1)
+        alpha = (move @ alpha[:, :len(ids)] if t else alpha) * emit.take(ids, axis=1)
+        scale = alpha.sum(axis=0)
         total[:len(ids)] += np.log(scale)
-        alpha /= scale[:, None]
+        alpha /= scale
     out = np.empty_like(total)
     out[s.order] = total
     return out
@@ -132,37 +133,42 @@ class Expected:
         return cls(np.zeros(states), np.zeros((states, states)), np.zeros((classes + 1, states)))
 
     def add(self, model: Model, classes: np.ndarray, bounds: np.ndarray) -> None:
-        """The forward-backward recursion over texts cut into pieces."""
+        """The forward-backward recursion over texts cut into pieces, about RUN tokens at a time."""
         sizes = np.diff(bounds)
         pieces = -(-sizes // PIECE)
         text = np.repeat(np.arange(len(sizes)), pieces)
         number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = bounds[:-1][text] + number * PIECE
-        s = Sequences(classes, begin, np.minimum(sizes[text] - number * PIECE, PIECE))
-        alphas, scales = [], []
+        size = np.minimum(sizes[text] - number * PIECE, PIECE)
+        for a, b in slices(np.append(0, np.cumsum(size)), RUN):
+            self._walk(model, Sequences(classes, begin[a:b], size[a:b]))
+
+    def _walk(self, model: Model, s: Sequences) -> None:
+        """The same for some pieces. A state is a row here, so that a step adds and multiplies whole rows."""
+        emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+        steps, alphas, scaled = [], [], []
         for t in range(s.steps):
-            emit = model.emit[s.at(t)]
-            alpha = (alphas[-1][:len(emit)] @ model.move if t else model.start) * emit
-            scale = alpha.sum(axis=1)[:, None]
-            alphas.append(alpha / scale)
-            scales.append(scale)
-        beta = np.empty((0, len(model.start)))
-        back = model.move.T.copy()
+            ids = s.at(t)
+            here = emit.take(ids, axis=1)
+            alpha = (move @ alphas[-1][:, :len(ids)] if t else model.start[:, None]) * here
+            scale = 1.0 / alpha.sum(axis=0)
+            alpha *= scale
+            here *= scale
+            steps.append(ids)
+            alphas.append(alpha)
+            scaled.append(here)
         for t in range(s.steps - 1, -1, -1):
-            alpha, n = alphas[t], s.active[t]
+            beta = np.ones_like(alphas[t])
             if t + 1 < s.steps:
-                ahead = model.emit[s.at(t + 1)] * beta / scales[t + 1]
-                m = len(ahead)
-                self.move += alpha[:m].T @ ahead * model.move
-                beta = np.concatenate([ahead @ back, np.ones((n - m, len(model.start)))])
-            else:
-                beta = np.ones((n, len(model.start)))
-            alphas[t] = alpha * beta
-        if alphas:
-            self.start += alphas[0].sum(axis=0)
-            ids = np.concatenate([s.at(t) for t in range(s.steps)])
-            for k in range(len(model.start)):
-                self.emit[:, k] += np.bincount(ids, np.concatenate([a[:, k] for a in alphas]), len(self.emit))
+                m = s.active[t + 1]
+                self.move += alphas[t][:, :m] @ scaled[t + 1].T * model.move
+                beta[:, :m] = model.move @ scaled[t + 1]
+            alphas[t] *= beta
+            scaled[t] *= beta
+        self.start += alphas[0].sum(axis=1)
+        ids, seen = np.concatenate(steps), np.concatenate(alphas, axis=1)
+        for k in range(len(model.start)):
+            self.emit[:, k] += np.bincount(ids, seen[k], len(self.emit))
 
     def model(self, prior: np.ndarray) -> Model:
         """The most likely model for these counts, each with a little of the words' overall shares."""
@@ -243,45 +249,67 @@ def prior_of(v: Vocabulary) -> np.ndarray:
     return own / own.sum()
 
 
-def start_model(v: Vocabulary, texts: pa.Array, states: int, rounds: int) -> Model:
-    """A first model: states begin as random tilts of the words' shares and are trained on a sample."""
+def start_model(v: Vocabulary, states: int) -> Model:
+    """The model before the first round: the states are random tilts of the words' shares and mostly stay."""
     prior, rng = prior_of(v), np.random.default_rng(10)
     emit = prior[:, None] * np.exp(rng.normal(0, 1, (len(prior), states)))
     move = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(move, 0.95)
-    model = Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-    raw, bounds = utf8(texts)
-    if not len(texts):
-        return model
-    hashes, cut = _tokens(raw, bounds)
-    classes = v.class_of(Lookup(v.hashes)(hashes))
-    for _ in range(rounds):
-        seen = Expected.none(states, v.classes)
-        seen.add(model, classes, cut)
-        model = seen.model(prior)
-    return model
+    return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+SEQUENCES = T.StructType([T.StructField("classes", T.BinaryType()), T.StructField("sizes", T.BinaryType())])
+
+
+def _number(classes: int) -> str:
+    return "<u2" if classes < 1 << 16 else "<u4"
+
 
+def write_sequences(docs: DataFrame, shared_vocabulary, path: str) -> None:
+    """Write the classes of all tokens of ``docs`` (column text) and the texts' numbers of tokens, as bytes.
 
-def train_round(docs: DataFrame, shared_vocabulary, model: Model, prior: np.ndarray) -> Model:
-    """One Baum-Welch round over all of ``docs`` (column text): expected counts are added up by class across tasks."""
-    spark, states = docs.sparkSession, len(model.start)
+    Every training round reads these and not the words again.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared_vocabulary.value
+        find, number = Lookup(v.hashes), _number(v.classes)
+        for batch in batches:
+            raw, bounds = utf8(batch.column(0))
+            for a, b in slices(bounds, ROW):
+                hashes, cut = _tokens(raw, bounds[a:b + 1])
+                row = v.class_of(find(hashes)).astype(number).tobytes(), np.diff(cut).astype("<u4").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], SEQUENCES.names)
+
+    docs.select("text").mapInArrow(run, SEQUENCES).write.parquet(path)
+
+
+def train_round(sequences: DataFrame, model: Model, prior: np.ndarray) -> Model:
+    """One Baum-Welch round over all of ``sequences``: expected counts are added up by class across tasks."""
+    spark, states, classes = sequences.sparkSession, len(model.start), len(prior) - 1
     shared = spark.sparkContext.broadcast(model)
     names = [f"s{k}" for k in range(states)]
     schema = T.StructType([T.StructField("row", T.LongType()), *(T.StructField(n, T.DoubleType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, m = shared_vocabulary.value, shared.value
-        find, seen = Lookup(v.hashes), Expected.none(states, v.classes)
+        m, seen, held = shared.value, Expected.none(states, classes), []
+
+        def add() -> None:
+            ids, sizes = (np.concatenate([np.frombuffer(x[k], n) for x in held]).astype(np.int64) for k, n in ((0, _number(classes)), (1, "<u4")))
+            seen.add(m, ids, np.append(0, np.cumsum(sizes)))
+            held.clear()
+
         for batch in batches:
-            raw, bounds = utf8(batch.column(0))
-            for a, b in slices(bounds):
-                hashes, cut = _tokens(raw, bounds[a:b + 1])
-                seen.add(m, v.class_of(find(hashes)), cut)
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                held.append(row)
+                if sum(len(ids) for ids, _ in held) >= 2 * RUN:
+                    add()
+        if held:
+            add()
         rows = np.concatenate([seen.emit, seen.move, seen.start[None, :]])
         own = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(rows[own, k]) for k in range(states))], schema.names)
 
-    summed = docs.select("text").mapInArrow(run, schema).groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    summed = sequences.mapInArrow(run, schema).groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
     rows = np.zeros((len(prior) + states + 1, states))
     at = summed["row"].to_numpy()
     for k, n in enumerate(names):
@@ -353,8 +381,8 @@ def score_documents(
     not, as one class, inside which counts plus one decide. score is the exact probability of the whole
     token sequence, from the scaled forward recursion over all of it. base_score is the sum of log10((c + 1) / (N + V + 1)).
 
-    Baum-Welch runs ``rounds`` times over all training texts, in pieces of PIECE tokens; it starts from a model
-    fitted to START_DOCS of them. The counts of frequent words, ``known`` at most, are broadcast;
+    Baum-Welch starts from random tilts of the words' shares and runs ``rounds`` times over all training texts, in pieces of
+    PIECE tokens; no round reads fewer. The counts of frequent words, ``known`` at most, are broadcast;
     those of all other words are joined to the documents that use them. Null and empty texts are the single
     end. A null in ``held_out`` counts as learned from. Repeated rows count each. Without any row to
     learn from, all counts are zero. An empty table gives no rows.
@@ -369,14 +397,12 @@ def score_documents(
     counts = spark.read.schema("hash long, n long").parquet(path)
     vocabulary, least = load_vocabulary(counts, classes, known)
     prior, shared = prior_of(vocabulary), spark.sparkContext.broadcast(vocabulary)
-    # every text has one end, so the ends tell the share that gives about START_DOCS; no sort is needed
-    texts = int(vocabulary.counts[vocabulary.hashes == END].sum())
-    share = F.lit(min(1.0, START_DOCS / max(texts, 1)) * (1 << 30))
-    sample = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("doc_id", "text").limit(2 * START_DOCS).toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    model = start_model(vocabulary, sample["text"].combine_chunks(), states, START_ROUNDS)
+    path = scratch_path(spark, "sequences")
+    write_sequences(train, shared, path)
+    sequences = spark.read.schema(SEQUENCES).parquet(path)
+    model = start_model(vocabulary, states)
     for _ in range(rounds):
-        model = train_round(train, shared, model, prior)
+        model = train_round(sequences, model, prior)
 
     path = scratch_path(spark, "scored")
     _score(rows, shared, model).write.parquet(path)
