@@ -174,6 +174,20 @@ def test_forward_and_training_counts():
     assert np.allclose(seen.start, own.start) and np.allclose(seen.move, own.move) and np.allclose(seen.emit, own.emit)
 
 
+def test_training_counts_of_long_pieces(monkeypatch):
+    """Scaled seldom or at each step, the counts are the same, and each token is counted once."""
+    rng = np.random.default_rng(7)
+    model = hmm.Model(*(x / x.sum(axis=0 if k == 2 else -1, keepdims=True) for k, x in enumerate((rng.random(3), rng.random((3, 3)), rng.random((6, 3))))))
+    bounds = np.cumsum([0, 20, 3, 9, 8, 1, 17, 700, 1100])
+    classes = rng.integers(0, 6, bounds[-1])
+    seen, own = hmm.Expected.none(3, 5), hmm.Expected.none(3, 5)
+    seen.add(model, classes, bounds)
+    monkeypatch.setattr(hmm, "SCALED", 1)
+    own.add(model, classes, bounds)
+    assert np.allclose(seen.start, own.start) and np.allclose(seen.move, own.move) and np.allclose(seen.emit, own.emit)
+    assert np.allclose(seen.emit.sum(axis=1), np.bincount(classes, minlength=6))
+
+
 def test_lookup():
     rng = np.random.default_rng(8)
     keys = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))

@@ -25,8 +25,10 @@ KNOWN = 1 << 20
 ROUNDS = 17
 #: Ids of a training sequence; longer texts are trained on as several.
 PIECE = 512
+#: Steps of the training recursion between two scalings; that many probabilities multiplied stay far above the least double.
+SCALED = 8
 #: Tokens whose probabilities a training task holds at once.
-RUN = 350_000
+RUN = 500_000
 #: Bytes of text in a row of the written sequences; a longer text has one by itself.
 ROW = 1 << 18
 END = np.uint64(0x5EED0F7E47)  # the token that ends a text
@@ -151,20 +153,26 @@ class Expected:
             ids = s.at(t)
             here = emit.take(ids, axis=1)
             alpha = (move @ alphas[-1][:, :len(ids)] if t else model.start[:, None]) * here
-            scale = 1.0 / alpha.sum(axis=0)
-            alpha *= scale
-            here *= scale
+            if t % SCALED == 0:
+                scale = 1.0 / alpha.sum(axis=0)
+                alpha *= scale
+                here *= scale
             steps.append(ids)
             alphas.append(alpha)
             scaled.append(here)
+        met, ahead = np.zeros_like(move), np.empty((len(move), 0))
         for t in range(s.steps - 1, -1, -1):
-            beta = np.ones_like(alphas[t])
-            if t + 1 < s.steps:
-                m = s.active[t + 1]
-                self.move += alphas[t][:, :m] @ scaled[t + 1].T * model.move
-                beta[:, :m] = model.move @ scaled[t + 1]
-            alphas[t] *= beta
-            scaled[t] *= beta
+            alpha, m = alphas[t], ahead.shape[1]
+            beta = np.empty_like(alpha)
+            if m:
+                met += alpha[:, :m] @ ahead.T
+                np.matmul(model.move, ahead, out=beta[:, :m])
+            if m < alpha.shape[1]:
+                beta[:, m:] = 1.0 / alpha[:, m:].sum(axis=0)  # pieces that end here
+            alpha *= beta
+            ahead = scaled[t]
+            ahead *= beta
+        self.move += met * model.move
         self.start += alphas[0].sum(axis=1)
         ids, seen = np.concatenate(steps), np.concatenate(alphas, axis=1)
         for k in range(len(model.start)):
