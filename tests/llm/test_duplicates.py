@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import low, spaced
@@ -82,6 +83,43 @@ def test_near_duplicates_in_large_groups(spark):
     same(got.collect(), brute_components(rows, 2))
 
 
+def test_near_duplicates_that_link_with_few(spark, monkeypatch):
+    """Copies with edits that others have too, far from most of their group: few pairs are verified, and no link is lost."""
+    from touchline.llm import minhash
+
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(400):
+        text = list(base)
+        for at in rng.sample(range(150), rng.randint(0, 4) if k % 3 else rng.randint(10, 16)):
+            text[at] = f"other{at}"
+        rows.append((k, " ".join(text)))
+    rows += [(1000 + k, f"{t} {t.split()[0]}{k}") for k, t in rows[:60]]  # a link of each
+    pairs, links = [], minhash._links
+
+    def counted(found, *rest):
+        pairs.append(found.count())
+        return links(found, *rest)
+
+    monkeypatch.setattr(minhash, "_links", counted)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words=2).collect()
+    want = brute_components(rows, 2)
+    same(got, want)
+    assert len({label for _, _, label, _ in want}) > 50
+    assert pairs[-1] < len(rows)  # those across components
+
+
+def test_parity_sketches():
+    from touchline.llm.minhash import parity_sketch
+
+    rng = random.Random(9)
+    for size in (0, 1, 100, 3000):
+        x, y = ({rng.getrandbits(12) << 52 | 5 * rng.getrandbits(12) for _ in range(size)} for _ in "xy")
+        a, b = (parity_sketch(np.array(sorted(v), np.uint64)) for v in (x, y))
+        assert len(a) == 16 and sum(int(v).bit_count() for v in (a ^ b).view(np.uint64)) <= len(x ^ y)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(0, 60)] + [(100 + rng.randrange(80), 100 + rng.randrange(80)) for _ in range(60)] + [(5, 5)]

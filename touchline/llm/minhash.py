@@ -20,6 +20,8 @@ SKETCH = 32
 #: Values of the union's sketch that both must have before a pair is verified. Of a pair that is as
 #: similar as 0.8, the union's 32 least values have fewer than 10 in common with probability 2e-10.
 SHARED = 10
+#: Bits of a parity sketch, a multiple of 64; beyond about as many shingles that differ it tells little more.
+PARITIES = 1024
 #: Documents that are compared with one pivot of an inverted list.
 BLOCK = 64
 #: Ids that may be broadcast to pick rows, 8 bytes each; beyond that many they are joined by shuffle.
@@ -28,7 +30,7 @@ BROADCAST = 1_000_000
 _LONGS = T.ArrayType(T.LongType())
 SIGNED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("n", T.LongType()),
-    T.StructField("sketch", _LONGS),
+    T.StructField("sketch", _LONGS), T.StructField("parity", _LONGS),
 ])
 
 
@@ -46,14 +48,23 @@ def _positive(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(1)).astype(np.int64)
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """PARITIES bits as longs: whether an odd number of the hashes falls on each.
+
+    Two sets' sketches differ in no more bits than the sets in elements, as a common element flips the same bit of both.
+    """
+    bits = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def sign(docs: DataFrame, size: int, sketch: int) -> DataFrame:
-    """Rows of SIGNED for doc_id, text: a digest of the word sequence, the set's size, its ``sketch`` least hashes."""
+    """Rows of SIGNED for doc_id, text: a digest of the word sequence, the set's size, its ``sketch`` least hashes, its parities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, bounds = utf8(batch.column(1))
             for a, b in slices(bounds):
                 words = scan(raw, bounds[a:b + 1], SPACED)
-                digests, sizes, sketches = [], [], []
+                digests, sizes, sketches, parities = [], [], [], []
                 gap = words.low.copy()
                 gap[~SPACED[gap]] = 0x20
                 # the words and single spaces: what lies between two words beyond their first gap byte goes
@@ -68,9 +79,10 @@ def sign(docs: DataFrame, size: int, sketch: int) -> DataFrame:
                     digests.append(hashlib.blake2b(text[edges[i]:edges[i + 1]].tobytes().strip(b" "), digest_size=16).digest())
                     sizes.append(len(own))
                     sketches.append(_positive(own[:sketch]))
+                    parities.append(parity_sketch(own))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                    pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())),
                 ], SIGNED.names)
 
     return docs.mapInArrow(run, SIGNED)
@@ -146,28 +158,6 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, out: str) -> Data
     return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def _alone(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """id and alone: how many shingles of a document no other of ``ids`` has; without a row, none.
-
-    One aggregation over the shingles' hashes, combined before its shuffle. An id in several rows counts
-    its shingles several times, so fewer of them seem alone, which only lets more pairs through.
-    """
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingle", T.LongType())])
-    texts = only(rows.select(F.col("doc_id").alias("id"), "text"), ids, "id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, bounds = utf8(batch.column(1))
-            names = batch.column(0).to_numpy()
-            for a, b in slices(bounds):
-                sets = list(shingle_sets(scan(raw, bounds[a:b + 1], SPACED), size))
-                owners = np.repeat(names[a:b], [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], schema.names)
-
-    owned = texts.mapInArrow(run, schema).groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("id"))
-    return owned.filter("times = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
-
-
 def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the inverted lists that hold several components so far: value, id, n, component, main.
 
@@ -180,20 +170,29 @@ def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.withColumn("key", F.bitwise_not("value")).join(main, "key").select("value", "id", "n", "component", "main")
 
 
-def _across(mixed: DataFrame, alone: DataFrame, percent: int) -> DataFrame:
+def _differ_little(x: str, y: str, sizes: Column, percent: int) -> Column:
+    """Whether parity sketches leave a chance of the similarity asked for, of sets with these summed sizes.
+
+    Sets that are as similar as ``percent`` differ in (100 - percent) / (100 + percent) of their summed sizes at most,
+    and the sketches in no more bits. So no such pair is refused.
+    """
+    bits = F.lit(0)
+    for k in range(PARITIES // 64):
+        bits = bits + F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k]))
+    return bits * (100 + percent) <= sizes * (100 - percent)
+
+
+def _across(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs a < b of members of a mixed list in different components that can still be similar.
 
-    The members outside the main component are compared with all members outside their own. Two sets
-    that are as similar as ``percent`` have at least percent / (100 + percent) of their summed sizes in
-    common. Shingles that no other member of any mixed list has are never common, so a document with many of its own
-    needs no comparison: an edited copy that reaches nobody does not meet all other copies.
+    The members outside the main component are compared with all members outside their own, by sizes and parity sketches in the
+    join itself: an edited copy that reaches nobody makes no row with each of all other copies.
     """
-    known = mixed.join(alone, "id", "left").select(
-        F.bitwise_not("value").alias("key"), "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"), "component", "main")
+    known = mixed.join(classes.select("id", "parity"), "id").select(F.bitwise_not("value").alias("key"), "id", "n", "parity", "component", "main")
     left = known.filter("component <> main").select(
-        F.col("key").alias("same"), F.col("id").alias("i"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("most").alias("most_i"))
+        F.col("key").alias("same"), F.col("id").alias("i"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("parity").alias("parity_i"))
     once = (F.col("component") == F.col("main")) | (F.col("i") < F.col("id"))
-    reach = F.least("most", "most_i") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    reach = _fits("n", "m", percent) & _differ_little("parity", "parity_i", F.col("n") + F.col("m"), percent)
     met = known.join(left, (F.col("key") == F.col("same")) & (F.col("c") != F.col("component")) & once & reach)
     return met.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
 
@@ -212,7 +211,7 @@ def near_duplicates(
     inverted list; the lists are ranked from rare to frequent, and a class enters only so many of its rarest that two classes with
     ``shared`` hashes in common meet in one. First each class meets the least pivot of its lists, then, where that left
     them in different components, all its pivots: pairs in proportion to the members. At last the members of a list
-    that are still in different components meet each other, unless the shingles they share with anybody are too few for a link; this
+    that are still in different components meet each other, unless the parities of their shingles differ in too many bits for a link; this
     loses no link that could join two components, and pairs inside one need no test. Candidates pass the estimate from the union's sketch and are confirmed on the
     whole sets of both texts. Lists, pairs, links and labels are tables in the shared folder.
 
@@ -233,7 +232,7 @@ def near_duplicates(
     signed = stored(sign(rows, words, sketch), "signed")
     able = signed.filter("n > 0 and doc_id is not null")
     classes = stored(able.groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")), "classes")
 
     postings = classes.select("id", "n", F.explode("sketch").alias("value"))
     often = postings.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select(
@@ -253,12 +252,13 @@ def near_duplicates(
     tested = stored(_stars(lists, longest, percent), "tested")
     fitting = tested.filter("fits").select("a", "b")
     # for the estimate the upper halves of the hashes do: they order alike, and a false match only lets a pair pass
-    brief = classes.select("id", "n", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("s"))
+    brief = classes.select("id", "n", F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("s"), "parity")
 
     def linked(pairs: DataFrame) -> DataFrame:
         for name in ("a", "b"):
-            pairs = pairs.join(brief.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("s").alias(f"s_{name}")), name)
-        passed = pairs.filter(enough(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), sketch, shared, percent))
+            pairs = pairs.join(brief.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("s").alias(f"s_{name}"), F.col("parity").alias(f"parity_{name}")), name)
+        little = _differ_little("parity_a", "parity_b", F.col("n_a") + F.col("n_b"), percent)
+        passed = pairs.filter(little & enough(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"), sketch, shared, percent))
         return stored(_links(stored(passed.select("a", "b"), "pairs"), rows, words, percent), "links")
 
     least = fitting.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -270,8 +270,7 @@ def near_duplicates(
         links = links.unionByName(more)
         labels = components(links, "a", "b")
     mixed = stored(_mixed(lists, labels), "mixed")
-    alone = stored(_alone(rows, mixed.select("id"), words), "alone")
-    last = linked(_across(mixed, alone, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+    last = linked(_across(mixed, classes, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     if last.take(1):
         labels = components(links.unionByName(last), "a", "b")
     named = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(
