@@ -236,3 +236,17 @@ def test_lines_of_every_length(spark):
     want = [(k, 1, links[k] if first[line] == k else 0, int(first[line] != k or k in late)) for k, line in enumerate(lines)]
     same(line_report(table, shortest=1).collect(), want)
     assert links[0] >= 1 and links[2] >= 1
+
+
+def test_pairs_of_long_lists_are_made_once(spark):
+    """Two that meet in several long lists make one row, in a short list they make theirs."""
+    from touchline.llm.minhash import BLOCK, _meetings
+
+    ids, values = range(BLOCK + 6), range(5)
+    mixed = spark.createDataFrame(
+        [(v, BLOCK + 6, i, 30, i, 0) for v in values for i in ids] + [(9, 3, i, 30, i, 1) for i in (1, 2, 3)],
+        "value long, members long, id long, n long, component long, main long")
+    same_sets = spark.createDataFrame([(i, [0] * 8) for i in ids], "id long, parity array<long>")
+    got = Counter((r.a, r.b) for r in _meetings(mixed, same_sets, 80).collect())
+    assert set(got) == {(a, b) for a in ids for b in ids if a < b}
+    assert {p for p, k in got.items() if k > 1} == {(1, 2), (1, 3), (2, 3)}

@@ -20,8 +20,8 @@ SKETCH = 32
 #: Values of the union's sketch that both must have before a pair is verified. Of a pair that is as
 #: similar as 0.8, the union's 32 least values have fewer than 10 in common with probability 2e-10.
 SHARED = 10
-#: Bits of a parity sketch, a multiple of 64; beyond about as many shingles that differ it tells little more.
-PARITIES = 1024
+#: Bits of the parity sketches that are kept, a multiple of 64; beyond about as many shingles that differ it tells little more.
+PARITIES = 512
 #: Documents that are compared with one pivot of an inverted list.
 BLOCK = 64
 #: Ids that may be broadcast to pick rows, 8 bytes each; beyond that many they are joined by shuffle.
@@ -48,12 +48,12 @@ def _positive(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(1)).astype(np.int64)
 
 
-def parity_sketch(hashes: np.ndarray) -> np.ndarray:
-    """PARITIES bits as longs: whether an odd number of the hashes falls on each.
+def parity_sketch(hashes: np.ndarray, size: int = 1024) -> np.ndarray:
+    """``size`` bits as longs: whether an odd number of the hashes falls on each.
 
     Two sets' sketches differ in no more bits than the sets in elements, as a common element flips the same bit of both.
     """
-    bits = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    bits = np.bincount((hashes % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -79,7 +79,7 @@ def sign(docs: DataFrame, size: int, sketch: int) -> DataFrame:
                     digests.append(hashlib.blake2b(text[edges[i]:edges[i + 1]].tobytes().strip(b" "), digest_size=16).digest())
                     sizes.append(len(own))
                     sketches.append(_positive(own[:sketch]))
-                    parities.append(parity_sketch(own))
+                    parities.append(parity_sketch(own, PARITIES))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
                     pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())),
@@ -159,15 +159,15 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, out: str) -> Data
 
 
 def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the inverted lists that hold several components so far: value, id, n, component, main.
+    """Members of the inverted lists that hold several components so far: value, members, id, n, component, main.
 
     main is the most frequent component of the list. A list of two has its only pair among the stars.
     """
-    labelled = _labelled(lists.filter("members > 2").select("value", "id", "n"), labels, "id", "component")
+    labelled = _labelled(lists.filter("members > 2").select("value", "members", "id", "n"), labels, "id", "component")
     count = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     main = count.groupBy("value").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
     main = main.filter("parts > 1").select(F.bitwise_not("value").alias("key"), F.col("main.component").alias("main"))
-    return labelled.withColumn("key", F.bitwise_not("value")).join(main, "key").select("value", "id", "n", "component", "main")
+    return labelled.withColumn("key", F.bitwise_not("value")).join(main, "key").select("value", "members", "id", "n", "component", "main")
 
 
 def _differ_little(x: str, y: str, sizes: Column, percent: int) -> Column:
@@ -182,19 +182,31 @@ def _differ_little(x: str, y: str, sizes: Column, percent: int) -> Column:
     return bits * (100 + percent) <= sizes * (100 - percent)
 
 
-def _across(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs a < b of members of a mixed list in different components that can still be similar.
+def _meetings(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b, which may repeat, of members of a mixed list in different components that can still be similar.
 
     The members outside the main component are compared with all members outside their own, by sizes and parity sketches in the
-    join itself: an edited copy that reaches nobody makes no row with each of all other copies.
+    join itself: an edited copy that reaches nobody makes no row with each of all other copies. Two that meet in several
+    lists of more than BLOCK members make a row in one of them only. Shorter lists are joined with themselves under two sets of names
+    and one order of columns, so that Spark deals them out once for both sides.
     """
-    known = mixed.join(classes.select("id", "parity"), "id").select(F.bitwise_not("value").alias("key"), "id", "n", "parity", "component", "main")
-    left = known.filter("component <> main").select(
-        F.col("key").alias("same"), F.col("id").alias("i"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("parity").alias("parity_i"))
-    once = (F.col("component") == F.col("main")) | (F.col("i") < F.col("id"))
-    reach = _fits("n", "m", percent) & _differ_little("parity", "parity_i", F.col("n") + F.col("m"), percent)
-    met = known.join(left, (F.col("key") == F.col("same")) & (F.col("c") != F.col("component")) & once & reach)
-    return met.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
+    several = mixed.filter(F.col("members") > BLOCK).groupBy("id").agg(F.collect_list(F.bitwise_not("value")).alias("long"))
+
+    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        columns = [F.bitwise_not("value").alias(f"key_{name}"), (F.col("component") != F.col("main")).alias(f"outside_{name}")]
+        return rows.join(classes.select("id", "parity"), "id").select(
+            *columns, *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "parity", "component", *more)))
+
+    other = (F.col("key_x") == F.col("key_y")) & (F.col("component_x") != F.col("component_y"))
+    reach = _fits("n_x", "n_y", percent) & _differ_little("parity_x", "parity_y", F.col("n_x") + F.col("n_y"), percent)
+    few = mixed.filter(F.col("members") <= BLOCK)
+    met = side(few, "x").join(side(few, "y"), other & (F.col("id_x") < F.col("id_y")) & (F.col("outside_x") | F.col("outside_y")) & reach)
+    many = mixed.filter(F.col("members") > BLOCK).join(several, "id")
+    once = ~F.col("outside_y") | (F.col("id_x") < F.col("id_y"))
+    here = F.array_min(F.array_intersect("long_x", "long_y")) == F.col("key_x")
+    met_long = side(many, "x", "long").filter("outside_x").join(side(many, "y", "long"), other & once & reach & here)
+    return met.unionByName(met_long, allowMissingColumns=True).select(
+        F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
 
 
 def near_duplicates(
@@ -270,7 +282,7 @@ def near_duplicates(
         links = links.unionByName(more)
         labels = components(links, "a", "b")
     mixed = stored(_mixed(lists, labels), "mixed")
-    last = linked(_across(mixed, classes, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+    last = linked(_meetings(mixed, classes, percent).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     if last.take(1):
         labels = components(links.unionByName(last), "a", "b")
     named = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(
