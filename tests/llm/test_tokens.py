@@ -259,3 +259,34 @@ def test_model_is_a_distribution(spark, docs):
     emit = hmm.prior_of(v)
     own = np.where(v.cls < v.classes, emit[np.minimum(v.cls, v.classes)], emit[v.classes] * (v.counts + 1) / (v.rare_tokens + v.rare_words + 1))
     assert math.isclose(own.sum() + emit[v.classes] / (v.rare_tokens + v.rare_words + 1), 1.0)
+
+
+def test_memory_of_a_batch_is_bounded():
+    """What a task holds beside its batch is a small multiple of a slice, also while it packs."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from touchline.llm import packing, text, tokens
+
+    column = pa.array([" ".join(f"w{(i * k) % 997}" for k in range(400)) for i in range(4000)])
+    raw, bounds = text.utf8(column)
+    assert bounds[-1] > 6 << 20
+    tokens.encoder(BYTE)
+    text._kept_powers.cache_clear()
+
+    def scanned():
+        for a, b in text.slices(bounds):
+            yield len(text.scan(raw, bounds[a:b + 1], text.SPACED).hash)
+
+    def encoded():
+        for _, coded in tokens.encoded_texts(BYTE, column, 0, packing.RUN):
+            yield len(coded.ids)
+
+    for run, most in ((scanned, 30), (encoded, 30)):
+        tracemalloc.start()
+        for _ in run():
+            pass
+        peak = tracemalloc.get_traced_memory()[1] / (1 << 20)
+        tracemalloc.stop()
+        assert peak < most, (run.__name__, peak)

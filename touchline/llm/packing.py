@@ -17,6 +17,8 @@ from touchline.llm.text import bounded_batches
 from touchline.llm.tokens import encoded_texts
 
 WINDOW = 1024
+#: Bytes of text that a packing task encodes at once. A worker keeps its vocabulary and open windows beside them.
+RUN = 1 << 20
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -135,7 +137,7 @@ def pack_documents(
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for row, coded in encoded_texts(tokenizer, batch.column(1), end):
+            for row, coded in encoded_texts(tokenizer, batch.column(1), end, RUN):
                 for i in range(len(coded.first) - 1):
                     ids = coded.ids[coded.first[i]:coded.first[i + 1]]
                     whole = Piece(names[row + i], 0, ids, len(ids))

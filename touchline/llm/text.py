@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: Bytes of text that Spark hands to a Python worker at once; a longer text comes alone.
 BATCH = 8 << 20
 

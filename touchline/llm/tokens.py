@@ -174,8 +174,8 @@ def encoder(path: str) -> Encoder:
 RUN = 4 << 20
 
 
-def encoded_texts(path: str, column: pa.Array, end: int):
-    """(first row, Ids) of runs of a column's texts; null counts as empty."""
+def encoded_texts(path: str, column: pa.Array, end: int, run: int = RUN):
+    """(first row, Ids) of runs of a column's texts, about ``run`` bytes each; null counts as empty."""
     raw, bounds = utf8(column)
-    for a, b in slices(bounds, RUN):
+    for a, b in slices(bounds, run):
         yield a, encoder(path).encode(raw, bounds[a:b + 1], end)
