@@ -290,3 +290,24 @@ def test_memory_of_a_batch_is_bounded():
         peak = tracemalloc.get_traced_memory()[1] / (1 << 20)
         tracemalloc.stop()
         assert peak < most, (run.__name__, peak)
+
+
+def test_likelihood_is_scaled_now_and_then(monkeypatch):
+    """The same values with one logarithm for some steps, for texts that end between two scalings too."""
+    rng = np.random.default_rng(3)
+    emit = rng.random((50, 4)) ** 6
+    model = hmm.Model(np.full(4, 0.25), rng.dirichlet(np.ones(4), 4), emit / emit.sum(axis=0))
+    sizes = np.array([1, 3, 8, 9, 80, 400])
+    bounds = np.append(0, np.cumsum(sizes))
+    classes = rng.integers(0, 50, bounds[-1])
+    want = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        alpha, total = model.start * model.emit[classes[a]], 0.0
+        for c in classes[a + 1:b]:
+            total += math.log(alpha.sum())
+            alpha = (alpha / alpha.sum()) @ model.move * model.emit[c]
+        want.append(total + math.log(alpha.sum()))
+    calls, log = [], np.log
+    monkeypatch.setattr(np, "log", lambda x: calls.append(1) or log(x))
+    got = hmm.log_likelihood(model, classes, bounds)
+    assert np.allclose(got, want, rtol=1e-12) and len(calls) <= 400 // hmm.SCALED + len(sizes) + 1

@@ -25,7 +25,7 @@ KNOWN = 1 << 20
 ROUNDS = 17
 #: Ids of a training sequence; longer texts are trained on as several.
 PIECE = 512
-#: Steps of the training recursion between two scalings; that many probabilities multiplied stay far above the least double.
+#: Steps of the recursions between two scalings; that many probabilities multiplied stay far above the least double.
 SCALED = 8
 #: Tokens whose probabilities a training task holds at once.
 RUN = 500_000
@@ -113,10 +113,13 @@ def log_likelihood(model: Model, classes: np.ndarray, bounds: np.ndarray) -> np.
     emit, move, alpha = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T), model.start[:, None]
     for t in range(s.steps):
         ids = s.at(t)
-        alpha = (move @ alpha[:, :len(ids)] if t else alpha) * emit.take(ids, axis=1)
-        scale = alpha.sum(axis=0)
-        total[:len(ids)] += np.log(scale)
-        alpha /= scale
+        alpha, ending = (move @ alpha[:, :len(ids)] if t else alpha) * emit.take(ids, axis=1), s.active[t + 1] if t + 1 < s.steps else 0
+        if t % SCALED == 0:
+            scale = alpha.sum(axis=0)
+            total[:len(ids)] += np.log(scale)
+            alpha /= scale
+        if ending < len(ids):  # what has multiplied up since the last scaling
+            total[ending:len(ids)] += np.log(alpha[:, ending:].sum(axis=0))
     out = np.empty_like(total)
     out[s.order] = total
     return out
@@ -146,37 +149,38 @@ class Expected:
             self._walk(model, Sequences(classes, begin[a:b], size[a:b]))
 
     def _walk(self, model: Model, s: Sequences) -> None:
-        """The same for some pieces. A state is a row here, so that a step adds and multiplies whole rows."""
+        """The same for some pieces. A state is a row here, so that a step adds and multiplies whole rows; the steps lie side by side."""
         emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
-        steps, alphas, scaled = [], [], []
+        ids, cut = np.concatenate([s.at(t) for t in range(s.steps)]), np.append(0, np.cumsum(s.active))
+        scaled = emit.take(ids, axis=1)
+        alphas = np.empty_like(scaled)
         for t in range(s.steps):
-            ids = s.at(t)
-            here = emit.take(ids, axis=1)
-            alpha = (move @ alphas[-1][:, :len(ids)] if t else model.start[:, None]) * here
+            here, alpha = scaled[:, cut[t]:cut[t + 1]], alphas[:, cut[t]:cut[t + 1]]
+            if t:
+                np.matmul(move, alphas[:, cut[t - 1]:cut[t - 1] + alpha.shape[1]], out=alpha)
+                alpha *= here
+            else:
+                np.multiply(model.start[:, None], here, out=alpha)
             if t % SCALED == 0:
                 scale = 1.0 / alpha.sum(axis=0)
                 alpha *= scale
                 here *= scale
-            steps.append(ids)
-            alphas.append(alpha)
-            scaled.append(here)
         met, ahead = np.zeros_like(move), np.empty((len(move), 0))
         for t in range(s.steps - 1, -1, -1):
-            alpha, m = alphas[t], ahead.shape[1]
-            beta = np.empty_like(alpha)
+            alpha, m = alphas[:, cut[t]:cut[t + 1]], ahead.shape[1]
+            beta = np.empty(alpha.shape)
             if m:
                 met += alpha[:, :m] @ ahead.T
                 np.matmul(model.move, ahead, out=beta[:, :m])
             if m < alpha.shape[1]:
                 beta[:, m:] = 1.0 / alpha[:, m:].sum(axis=0)  # pieces that end here
             alpha *= beta
-            ahead = scaled[t]
+            ahead = scaled[:, cut[t]:cut[t + 1]]
             ahead *= beta
         self.move += met * model.move
-        self.start += alphas[0].sum(axis=1)
-        ids, seen = np.concatenate(steps), np.concatenate(alphas, axis=1)
+        self.start += alphas[:, :cut[1]].sum(axis=1)
         for k in range(len(model.start)):
-            self.emit[:, k] += np.bincount(ids, seen[k], len(self.emit))
+            self.emit[:, k] += np.bincount(ids, alphas[k], len(self.emit))
 
     def model(self, prior: np.ndarray) -> Model:
         """The most likely model for these counts, each with a little of the words' overall shares."""
