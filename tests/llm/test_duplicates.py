@@ -250,3 +250,40 @@ def test_pairs_of_long_lists_are_made_once(spark):
     got = Counter((r.a, r.b) for r in _meetings(mixed, same_sets, 80).collect())
     assert set(got) == {(a, b) for a in ids for b in ids if a < b}
     assert {p for p, k in got.items() if k > 1} == {(1, 2), (1, 3), (2, 3)}
+
+
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        before, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (a != b))
+    return row[-1]
+
+
+def test_crowds_of_lines(spark, monkeypatch):
+    """Lines of a large group of edited copies: each link is found, and most pairs that share a segment only are not verified."""
+    from touchline.llm import line_dedup
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(24)]
+    lines = {"a" * 20, "a" * 21, "a" * 23, "short one", "é" * 18, "é" * 17 + "ab"}
+    for _ in range(70):
+        own = list(words)
+        for _ in range(3):
+            own[rng.randrange(8, 24)] = "".join(rng.choices("abcdefghij", k=6))
+        line = " ".join(own)
+        at = rng.randrange(len(line))
+        lines |= {line, line[:at] + rng.choice(["", "x", "xy"]) + line[at + 1:]}
+    lines = sorted(lines)
+    long_ = [x for x in lines if len(x) >= 16]
+    want = sum(edits(x, y) <= 2 for x in long_ for y in long_ if abs(len(x) - len(y)) <= 2 and x != y)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    paths, path = [], line_dedup.scratch_path
+    monkeypatch.setattr(line_dedup, "scratch_path", lambda s, name: paths.append((name, path(s, name))) or paths[-1][1])
+    candidates = []
+    for crowd in (10_000, 8, 0):
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        assert sum(r.n_links for r in line_report(docs).collect()) == want, crowd
+        candidates.append(spark.read.parquet([p for n, p in paths if n == "candidates"][-1]).count())
+    assert want / 2 <= candidates[2] <= candidates[1] < candidates[0] / 2

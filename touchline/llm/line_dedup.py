@@ -12,6 +12,10 @@ THRESHOLD = 2
 SHORTEST = 16
 #: Hashes that may be broadcast to pick the lines of candidates, 8 bytes each.
 BROADCAST = 1_000_000
+#: Lines that share a segment before their pairs are first tested by their parities.
+CROWD = 32
+#: Longs of a line's parities by the number of characters in a gram. Short grams tell words apart, longer ones where the letters are the same.
+PARITIES = {1: 1, 2: 2, 3: 4}
 
 
 def segment(length: str, parts: int, number: int) -> tuple[str, str]:
@@ -134,12 +138,54 @@ def _texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return chosen.groupBy("h1", "h2").agg(F.max("line").alias("line"), F.min(F.struct("doc", "pos")).alias("first"))
 
 
+def parities(line: str) -> str:
+    """SQL for bits as longs, in the order of PARITIES: whether an odd number of the line's grams falls on each."""
+    out = []
+    for size, longs in PARITIES.items():
+        grams = f"transform(sequence(1, greatest(length({line}) - {size - 1}, 1)), k -> cast(pmod(xxhash64(substring({line}, k, {size})), {64 * longs}) as int))"
+        words = [f"aggregate(g, 0L, (sum, h) -> sum ^ if(h div 64 = {w}, shiftleft(1L, h % 64), 0L))" for w in range(longs)]
+        out.append(f"element_at(transform(array({grams}), g -> array({', '.join(words)})), 1)")
+    return f"concat({', '.join(out)})"
+
+
+def _near(x: str, y: str, threshold: int) -> Column:
+    """Whether parities leave a chance of ``threshold`` edits: an edit takes away and adds a gram for each of its characters at most."""
+    near, at = F.lit(True), 0
+    for size, longs in PARITIES.items():
+        bits = F.lit(0)
+        for k in range(at, at + longs):
+            bits = bits + F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k]))
+        near, at = near & (bits <= 2 * size * threshold), at + longs
+    return near
+
+
+def _crowded(lines: DataFrame, members: DataFrame, probes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs i, p of members and probes with the same key whose parities leave a chance of ``threshold`` edits.
+
+    No pair within the threshold is refused. The test is part of the join: lines that share a segment and little else make no rows.
+    """
+    ids = members.select(F.col("i").alias("h1")).unionByName(probes.select(F.col("p").alias("h1"))).distinct()
+    few = ids.limit(BROADCAST + 1).count() <= BROADCAST
+    marked = _hashed(lines).join(F.broadcast(ids) if few else ids, "h1", "left_semi").groupBy("h1").agg(F.max("line").alias("line"))
+    marked = marked.select("h1", F.expr(parities("line")).alias("bits"))
+    path = scratch_path(lines.sparkSession, "parities")
+    marked.write.parquet(path)
+    marked = lines.sparkSession.read.schema(marked.schema).parquet(path)
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.join(marked.select(F.col("h1").alias(name), F.col("bits").alias(f"bits_{name}")), name)
+
+    left, right = side(members, "i"), side(probes, "p").withColumnRenamed("key", "met")
+    return left.join(right, (F.col("key") == F.col("met")) & (F.col("i") != F.col("p")) & _near("bits_i", "bits_p", threshold)).select("i", "p")
+
+
 def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """Pairs a, b (structs of h1, h2, first) of different lines within ``threshold`` edits, once each.
 
     A task turns each line into the keys of its own segments and of its probes. Lines that repeat are combined
     before their keys are dealt out, as hashes and without the lines; the join of keys is one that Spark
-    may split where many lines share a segment. Candidates are made distinct, written to the shared
+    may split where many lines share a segment. A segment of more than CROWD lines stands there once, without its lines; what
+    meets it is joined with them by ``_crowded``, where the parities of their grams decide first. Candidates are made distinct, written to the shared
     folder, and verified on the whole lines.
 
     ``shortest=1`` joins all lines. Those of at most ``threshold`` characters have empty segments, at which they
@@ -154,9 +200,22 @@ def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int =
         own = long_.select("h1", "h2", F.expr(keys).alias("keys")).groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
         return own.select(F.col("h1").alias(name), F.explode("keys").alias("key"))
 
-    met = keyed(index_keys(threshold), "i").join(keyed(probe_keys(threshold, shortest), "p"), "key").filter("i <> p")
+    index = keyed(index_keys(threshold), "i")
+    path = scratch_path(spark, "crowds")
+    index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("key").write.parquet(path)
+    crowds = spark.read.schema("key long").parquet(path)
+    # a crowd stands in the join of keys as one row without a line
+    alone = index.join(crowds, "key", "left_anti").select("i", "key").unionByName(crowds.select(F.lit(None).cast("long").alias("i"), "key"))
+    met = alone.join(keyed(probe_keys(threshold, shortest), "p"), "key").filter(F.col("i").isNull() | (F.col("i") != F.col("p")))
+    path = scratch_path(spark, "met")
+    met.select("i", "p", F.when(F.col("i").isNull(), F.col("key")).alias("key")).write.parquet(path)
+    met = spark.read.schema("i long, p long, key long").parquet(path)
+    found = met.filter("i is not null").select("i", "p")
+    probes = met.filter("i is null").select("p", "key").distinct()
+    if probes.take(1):
+        found = found.unionByName(_crowded(lines, index.join(crowds, "key", "left_semi").select("i", "key"), probes, threshold))
     path = scratch_path(spark, "candidates")
-    met.select(F.least("i", "p").alias("a1"), F.greatest("i", "p").alias("b1")).distinct().write.parquet(path)
+    found.select(F.least("i", "p").alias("a1"), F.greatest("i", "p").alias("b1")).distinct().write.parquet(path)
     pairs = spark.read.schema("a1 long, b1 long").parquet(path)
     texts = _texts_of(lines, pairs.select(F.explode(F.array("a1", "b1")).alias("h1")))
     path = scratch_path(spark, "lines")
