@@ -191,20 +191,21 @@ def _meetings(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     and one order of columns, so that Spark deals them out once for both sides.
     """
     several = mixed.filter(F.col("members") > BLOCK).groupBy("id").agg(F.collect_list(F.bitwise_not("value")).alias("long"))
+    sketches = classes.select("id", "parity")
 
-    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    def side(rows: DataFrame, sketches: DataFrame, name: str, *more: str) -> DataFrame:
         columns = [F.bitwise_not("value").alias(f"key_{name}"), (F.col("component") != F.col("main")).alias(f"outside_{name}")]
-        return rows.join(classes.select("id", "parity"), "id").select(
+        return rows.join(sketches, "id").select(
             *columns, *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "parity", "component", *more)))
 
     other = (F.col("key_x") == F.col("key_y")) & (F.col("component_x") != F.col("component_y"))
     reach = _fits("n_x", "n_y", percent) & _differ_little("parity_x", "parity_y", F.col("n_x") + F.col("n_y"), percent)
     few = mixed.filter(F.col("members") <= BLOCK)
-    met = side(few, "x").join(side(few, "y"), other & (F.col("id_x") < F.col("id_y")) & (F.col("outside_x") | F.col("outside_y")) & reach)
-    many = mixed.filter(F.col("members") > BLOCK).join(several, "id")
+    met = side(few, sketches, "x").join(side(few, sketches, "y"), other & (F.col("id_x") < F.col("id_y")) & (F.col("outside_x") | F.col("outside_y")) & reach)
+    many, known = mixed.filter(F.col("members") > BLOCK), sketches.join(several, "id", "left")
     once = ~F.col("outside_y") | (F.col("id_x") < F.col("id_y"))
     here = F.array_min(F.array_intersect("long_x", "long_y")) == F.col("key_x")
-    met_long = side(many, "x", "long").filter("outside_x").join(side(many, "y", "long"), other & once & reach & here)
+    met_long = side(many, known, "x", "long").filter("outside_x").join(side(many, known, "y", "long"), other & once & reach & here)
     return met.unionByName(met_long, allowMissingColumns=True).select(
         F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
 
