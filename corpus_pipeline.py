@@ -11,9 +11,12 @@ from touchline.llm.exact_dedup import drop_duplicates
 from touchline.llm.language import UNKNOWN, identify, learn_profiles
 from touchline.llm.minhash import near_duplicates
 from touchline.llm.packing import pack_documents
+from touchline.llm.text import bounded_batches
 from touchline.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Bytes of an Arrow batch here. An executor holds several for each task, and its workers keep what earlier stages loaded.
+BATCH = 2 << 20
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A document without a letter, or without text, is rejected.
     """
+    bounded_batches(spark, BATCH)
     lang, score = "lang_pred__", "lang_score__"
     named = identify(docs, learn_profiles(docs), lang_name=lang, score_name=score)
     return named.filter(F.col(lang) != UNKNOWN).drop(lang, score)
@@ -33,17 +37,20 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of every group linked by five-word shingles at a similarity of 0.8 or more: the one with the least id."""
+    bounded_batches(spark, BATCH)
     dropped = near_duplicates(docs, words=5).filter(~F.col("kept")).select(F.col("doc_id").alias("dropped__"))
     return docs.join(dropped, F.col("doc_id") == F.col("dropped__"), "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
+    bounded_batches(spark, BATCH)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 token ids."""
+    bounded_batches(spark, BATCH)
     return pack_documents(docs, TOKENIZER, with_ids=False)
 
 

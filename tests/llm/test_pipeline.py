@@ -66,3 +66,27 @@ def test_registered():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+
+
+def test_stages_bound_what_a_worker_holds(spark, docs):
+    import tracemalloc
+
+    from touchline.llm import language
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key, None)
+    try:
+        for stage in (corpus_pipeline.known_language, corpus_pipeline.without_near_copies, corpus_pipeline.packed):
+            spark.conf.set(key, str(64 << 20))
+            stage(spark, docs, "")
+            assert int(spark.conf.get(key)) <= 2 << 20
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+    classifier = language.Classifier([("en", language.grams(["some words of it"]).code.tolist())], 400)
+    texts = ["Some words of a text, and some more of them. " * 200] * 200
+    language._letters()
+    tracemalloc.start()
+    got = [name for _, run in language._runs(texts) for name in classifier.predict(run)[0]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == ["en"] * len(texts) and peak < 40e6, peak

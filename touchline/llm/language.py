@@ -19,8 +19,8 @@ PROFILE = 400
 #: Languages that may be learned: with PROFILE entries each they bound what is broadcast.
 LANGUAGES = 2_000
 UNKNOWN = "und"
-#: Characters that are worked on at once.
-RUN = 1 << 19
+#: Characters that are worked on at once; a worker needs some 150 bytes for each.
+RUN = 1 << 17
 
 
 @lru_cache(maxsize=1)

@@ -31,15 +31,15 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _SYMBOL = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
-def bounded_batches(spark) -> None:
-    """Let no Arrow batch be larger than BATCH bytes, also where a session allows more.
+def bounded_batches(spark, size: int = BATCH) -> None:
+    """Let no Arrow batch be larger than ``size`` bytes, also where a session allows more.
 
     Rows alone do not bound a batch: ten thousand long texts would not fit a worker.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key, None)
-    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH:
-        spark.conf.set(key, str(BATCH))
+    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > size:
+        spark.conf.set(key, str(size))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
