@@ -287,3 +287,18 @@ def test_crowds_of_lines(spark, monkeypatch):
         assert sum(r.n_links for r in line_report(docs).collect()) == want, crowd
         candidates.append(spark.read.parquet([p for n, p in paths if n == "candidates"][-1]).count())
     assert want / 2 <= candidates[2] <= candidates[1] < candidates[0] / 2
+
+
+def test_lines_that_share_a_segment_make_few_rows(spark, monkeypatch):
+    """A segment of 30 lines that share nothing else makes a row for each of them, and no candidates."""
+    from touchline.llm import line_dedup
+
+    rng = random.Random(6)
+    lines = ["the same words in every line of these" + "".join(rng.choices("abcdefghij", k=74)) for _ in range(30)]
+    lines += [lines[0] + "x", lines[1][:60] + lines[1][61:]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    paths, path = [], line_dedup.scratch_path
+    monkeypatch.setattr(line_dedup, "scratch_path", lambda s, name: paths.append((name, path(s, name))) or paths[-1][1])
+    assert {r.doc_id: r.n_links for r in line_report(docs).collect()} == {k: int(k in (0, 1)) + int(k > 29) for k in range(32)}
+    made = {name: spark.read.parquet(p).count() for name, p in paths}
+    assert made["met"] <= 4 * len(lines) and made["candidates"] <= 2 * len(lines), made

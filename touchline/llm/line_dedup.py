@@ -12,8 +12,10 @@ THRESHOLD = 2
 SHORTEST = 16
 #: Hashes that may be broadcast to pick the lines of candidates, 8 bytes each.
 BROADCAST = 1_000_000
-#: Lines that share a segment before their pairs are first tested by their parities.
-CROWD = 32
+#: Lines that share a segment before their pairs are first tested by their parities; up to two stand in the segment's own row.
+CROWD = 2
+#: Parts of a line that are looked for in the other line of a candidate, before the distance is counted.
+PARTS = 8
 #: Longs of a line's parities by the number of characters in a gram. Short grams tell words apart, longer ones where the letters are the same.
 PARITIES = {1: 1, 2: 2, 3: 4}
 
@@ -26,21 +28,13 @@ def segment(length: str, parts: int, number: int) -> tuple[str, str]:
     return f"({number} * {small} + {before} + 1)", f"({small} + if({number} >= {parts} - {longer}, 1, 0))"
 
 
-def index_keys(threshold: int) -> str:
-    """SQL for a line's own segments; a key hashes the line's length, the segment's number and its text."""
-    keys = []
-    for number in range(threshold + 1):
-        start, size = segment("n", threshold + 1, number)
-        keys.append(f"xxhash64(n, {number}, substring(line, {start}, {size}))")
-    return f"array({', '.join(keys)})"
-
-
-def probe_keys(threshold: int, shortest: int) -> str:
-    """SQL for the substrings at which a line must be met by a line of its length or up to ``threshold`` less.
+def probe_keys(threshold: int, shortest: int) -> list[tuple[str, bool]]:
+    """SQL for the keys of a line, one for each substring at which it meets lines of its length or up to ``threshold`` less.
 
     With at most ``threshold`` edits one of the threshold-plus-one segments of the shorter line stays whole. Seen
     from the left, the i-th one that is whole has at most i edits before it, seen from the right at
-    most ``threshold - i`` behind it (i from 0), and each moves it by one place; both must hold.
+    most ``threshold - i`` behind it (i from 0), and each moves it by one place; both must hold. A key hashes the
+    length of the other line, the segment's number and its text; those marked True are the line's own segments.
     """
     keys = []
     for less in range(threshold + 1):
@@ -49,11 +43,17 @@ def probe_keys(threshold: int, shortest: int) -> str:
             low = max(-number, less - (threshold - number))
             high = min(number, less + (threshold - number))
             for move in range(low, high + 1):
-                keys.append(
-                    f"if(n - {less} >= {shortest} and {start} + {move} between 1 and n - {size} + 1, "
-                    f"xxhash64(n - {less}, {number}, substring(line, {start} + {move}, {size})), null)"
-                )
-    return f"array_compact(array({', '.join(keys)}))"
+                key = (f"if(n - {less} >= {shortest} and {start} + {move} between 1 and n - {size} + 1, "
+                       f"xxhash64(n - {less}, {number}, substring(line, {start} + {move}, {size})), null)")
+                keys.append((key, less == 0 and move == 0))
+    return keys
+
+
+def shared_parts(a: str, b: str, threshold: int) -> Column:
+    """Whether enough of the ``PARTS`` parts of a text are in the other: an edit breaks one part at most."""
+    found = [f"if(contains({b}, substring({a}, {start}, {size})), 1, 0)"
+             for start, size in (segment(f"length({a})", PARTS, k) for k in range(PARTS))]
+    return F.expr(" + ".join(found)) >= PARTS - threshold
 
 
 def banded_distance(a: Column, b: Column, threshold: int) -> Column:
@@ -182,11 +182,11 @@ def _crowded(lines: DataFrame, members: DataFrame, probes: DataFrame, threshold:
 def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """Pairs a, b (structs of h1, h2, first) of different lines within ``threshold`` edits, once each.
 
-    A task turns each line into the keys of its own segments and of its probes. Lines that repeat are combined
-    before their keys are dealt out, as hashes and without the lines; the join of keys is one that Spark
-    may split where many lines share a segment. A segment of more than CROWD lines stands there once, without its lines; what
-    meets it is joined with them by ``_crowded``, where the parities of their grams decide first. Candidates are made distinct, written to the shared
-    folder, and verified on the whole lines.
+    A task turns each line into the keys of its probes, of which some are its own segments. Lines that repeat are combined
+    with their keys, as hashes and without the lines, and stored once. In the join of keys a segment is one row, however many lines
+    share it; up to two of them are in that row. What meets a segment of more than CROWD lines is joined with them by ``_crowded``, where
+    the parities of their grams decide first. Candidates are made distinct, written to the shared
+    folder, tested by parts of the one line in the other, and verified on the whole lines.
 
     ``shortest=1`` joins all lines. Those of at most ``threshold`` characters have empty segments, at which they
     meet every line of about their length, as two edits may leave nothing of them.
@@ -194,26 +194,37 @@ def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int =
     if shortest < 1:
         raise ValueError("a line must have a character")
     spark = lines.sparkSession
-    long_ = _hashed(lines).withColumn("n", F.length("line")).filter(F.col("n") >= shortest)
 
-    def keyed(keys: str, name: str) -> DataFrame:
-        own = long_.select("h1", "h2", F.expr(keys).alias("keys")).groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
-        return own.select(F.col("h1").alias(name), F.explode("keys").alias("key"))
-
-    index = keyed(index_keys(threshold), "i")
-    path = scratch_path(spark, "crowds")
-    index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("key").write.parquet(path)
-    crowds = spark.read.schema("key long").parquet(path)
-    # a crowd stands in the join of keys as one row without a line
-    alone = index.join(crowds, "key", "left_anti").select("i", "key").unionByName(crowds.select(F.lit(None).cast("long").alias("i"), "key"))
-    met = alone.join(keyed(probe_keys(threshold, shortest), "p"), "key").filter(F.col("i").isNull() | (F.col("i") != F.col("p")))
-    path = scratch_path(spark, "met")
-    met.select("i", "p", F.when(F.col("i").isNull(), F.col("key")).alias("key")).write.parquet(path)
-    met = spark.read.schema("i long, p long, key long").parquet(path)
-    found = met.filter("i is not null").select("i", "p")
-    probes = met.filter("i is null").select("p", "key").distinct()
-    if probes.take(1):
-        found = found.unionByName(_crowded(lines, index.join(crowds, "key", "left_semi").select("i", "key"), probes, threshold))
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    keys = probe_keys(threshold, shortest)
+    names = [f"k{j}" for j in range(len(keys))]
+    long_ = _hashed(lines).withColumn("n", F.length("line")).filter(F.col("n") >= shortest)
+    keyed = stored(long_.groupBy("h1", "h2").agg(*(F.first(F.expr(key)).alias(name) for (key, _), name in zip(keys, names, strict=True)))
+                   .drop("h2"), "keys")
+    index = keyed.select(F.col("h1").alias("i"), F.explode(F.array(*(name for (_, own), name in zip(keys, names, strict=True) if own))).alias("key"))
+    probes = keyed.select(F.col("h1").alias("p"), F.explode(F.array_compact(F.array(*names))).alias("key"))
+    # a segment is one row, which has its lines if they are two at most; the struct lets Spark split the join
+    counted = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("low"), F.max("i").alias("high"))
+    counted = counted.withColumn("place", F.struct("key")).drop("key")
+    met = counted.join(probes.withColumn("place", F.struct("key")), "place").filter("n > 1 or low <> p")
+    met = stored(met.select("key", "n", "low", "high", "p"), "met")
+    few = min(2, CROWD)
+    found = met.filter(F.col("n") <= few).select(F.explode(F.array_distinct(F.array("low", "high"))).alias("i"), "p").filter("i <> p")
+    if met.filter(F.col("n") > few).take(1):
+        wanted = met.filter(F.col("n") > few).select("key").distinct()
+        broadcast = wanted.limit(BROADCAST + 1).count() <= BROADCAST
+        members = stored(index.join(F.broadcast(wanted) if broadcast else wanted, "key", "left_semi").select("i", "key"), "members")
+        if CROWD > few:
+            between = met.filter((F.col("n") > few) & (F.col("n") <= CROWD)).select("key", "p")
+            found = found.unionByName(between.join(members, "key").filter("i <> p").select("i", "p"))
+        crowded = met.filter(F.col("n") > CROWD).select("p", "key").distinct()
+        if crowded.take(1):
+            of_crowds = members.join(crowded.select("key").distinct(), "key", "left_semi") if CROWD > few else members
+            found = found.unionByName(_crowded(lines, of_crowds.select("i", "key"), crowded, threshold))
     path = scratch_path(spark, "candidates")
     found.select(F.least("i", "p").alias("a1"), F.greatest("i", "p").alias("b1")).distinct().write.parquet(path)
     pairs = spark.read.schema("a1 long, b1 long").parquet(path)
@@ -226,6 +237,7 @@ def similar_lines(lines: DataFrame, threshold: int = THRESHOLD, shortest: int =
         return texts.select(F.col("h1").alias(f"{name}1"), F.struct("h1", "h2", "first").alias(name), F.col("line").alias(f"line_{name}"))
 
     both = pairs.join(side("a"), "a1").join(side("b"), "b1")
+    both = both.filter(shared_parts("line_a", "line_b", threshold))
     return both.filter(banded_distance(F.col("line_a"), F.col("line_b"), threshold) <= threshold).select("a", "b")
 
 
