@@ -311,3 +311,49 @@ def test_likelihood_is_scaled_now_and_then(monkeypatch):
     monkeypatch.setattr(np, "log", lambda x: calls.append(1) or log(x))
     got = hmm.log_likelihood(model, classes, bounds)
     assert np.allclose(got, want, rtol=1e-12) and len(calls) <= 400 // hmm.SCALED + len(sizes) + 1
+
+
+def test_cuts_at_signs_after_letters():
+    """Signs are chunks of their own after accented letters too, and the ids stay those of the whole text."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    from touchline.llm import tokens as t
+    from touchline.llm.text import utf8
+
+    texts = ["café, allé!! d'été's über... ñ|ñ", "a×! b÷, à×.", "é", "!é", unicodedata.normalize("NFD", "é, ñ! ü≠"), "ÿ≠ Ã!  , ß's É'T"]
+    raw, bounds = utf8(pa.array(texts))
+    at = np.append(t.cuts(raw, bounds), bounds[-1])
+    chunks = [raw[a:b].tobytes().decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert chunks[:7] == ["café", ",", " allé", "!!", " d", "'été", "'s"]
+    assert chunks[chunks.index("a×!"):][:3] == ["a×!", " b÷,", " à×."]  # these two are signs themselves
+    for path, end in ((BYTE, 0), (WORD, 2)):
+        (_, coded), = t.encoded_texts(path, pa.array(texts), end)
+        for k, text in enumerate(texts):
+            assert coded.ids[coded.first[k]:coded.first[k + 1]].tolist() == ids_of(path, text, end)
+
+
+def test_known_chunks_are_not_learned_again():
+    """What a worker remembers is looked up only; older chunks move up, and no more are held than allowed."""
+    from touchline.llm.tokens import Encoder
+
+    class Counted(dict):
+        added = 0
+
+        def update(self, pairs):
+            pairs = list(pairs)
+            self.added += len(pairs)
+            super().update(pairs)
+
+    e = Encoder(BYTE, remembered=8)
+    e.known = Counted()
+    first = [" aé", " b", " c", " d", " e"]
+    want = e._learn(first)
+    assert e.known.added == 5 and e._learn(first) == want and e.known.added == 5
+    fresh, asked = e._fresh, []
+    e._fresh = lambda chunks: asked.extend(chunks) or fresh(chunks)
+    for chunks in ([" f", " g", " h", " i"], first, [f" {k}k" for k in range(20)], [" i", " b"]):
+        assert e._learn(chunks) == fresh(chunks)
+        assert len(e.known) <= 8 and len(e.older) <= 8
+    assert not set(first) & set(asked[:24])

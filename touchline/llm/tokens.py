@@ -53,7 +53,12 @@ def cuts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     edge = (bounds[1:-1] - low)[(bounds[1:-1] > low) & (bounds[1:-1] < high)]
     lone[edge] = False  # what stands beside is another text
     lone[edge - 1] = False
-    out = lone | (((here & _SIGN) != 0) & ((left & _LETTER) != 0))
+    sign = (here & _SIGN) != 0
+    out = lone | (sign & ((left & _LETTER) != 0))
+    late = np.flatnonzero(sign & ((left & _HIGH) != 0)) + low
+    late = late[late >= low + 2]
+    last = raw[late - 1]
+    out[late[(raw[late - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)] - low] = True  # U+00D7 and U+00F7 are signs
     out[1:] |= lone[:-1] & ((here[:-1] & _BREAK) != 0)
     out[edge] = True
     if n:
@@ -118,15 +123,18 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
         known, older = self.known, self.older
-        out = [known.get(c) or older.get(c) for c in chunks]
-        new = [i for i, v in enumerate(out) if v is None]
+        out = list(map(known.get, chunks))
+        absent = [i for i, v in enumerate(out) if v is None]
+        for i in absent:
+            out[i] = older.get(chunks[i])
+        new = [i for i in absent if out[i] is None]
         if new:
             for i, ids in zip(new, self._fresh([chunks[i] for i in new]), strict=True):
                 out[i] = ids
-        if len(known) + len(chunks) > self.remembered:
+        if len(known) + len(absent) > self.remembered:
             self.older = known
             known = self.known = {}
-        known.update(zip(chunks[:self.remembered], out, strict=False))
+        known.update((chunks[i], out[i]) for i in absent[:self.remembered])
         return out
 
     def encode(self, raw: np.ndarray, bounds: np.ndarray, end: int) -> Ids:
@@ -138,9 +146,9 @@ class Encoder:
             chunks = pa.LargeStringArray.from_buffers(len(at) - 1, offsets, pa.py_buffer(raw))
             coded = chunks.dictionary_encode()
             code = coded.indices.to_numpy()
-            pieces = self._learn(coded.dictionary.to_pylist())
+            pieces = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())  # to_pylist boxes each first
             flat = np.frombuffer(b"".join(pieces), np.uint32)
-            size = np.fromiter((len(p) >> 2 for p in pieces), np.int64, len(pieces))
+            size = np.fromiter(map(len, pieces), np.int64, len(pieces)) >> 2
         else:
             at, code = bounds[-1:], np.empty(0, np.int64)
             flat, size = np.empty(0, np.uint32), np.empty(0, np.int64)
