@@ -357,3 +357,64 @@ def test_known_chunks_are_not_learned_again():
         assert e._learn(chunks) == fresh(chunks)
         assert len(e.known) <= 8 and len(e.older) <= 8
     assert not set(first) & set(asked[:24])
+
+
+def test_texts_are_scored_side_by_side(monkeypatch):
+    """One walk for the texts of several slices and batches, not one for each; the rows are the same."""
+    import pyarrow as pa
+
+    from touchline.llm import text
+
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(60)]
+    texts = [None, "", "w1 unknown w2 unknown", *(" ".join(rng.choice(words, n)) for n in (1, 3, 500, 20, 2000, 7))]
+    batches = [pa.RecordBatch.from_arrays([pa.array([1, None, *range(2, n)][:n]), pa.array([True, False] * n)[:n], pa.array(part, pa.string())],
+                                          ["doc_id", "held_out", "text"]) for part in (texts[:4], texts[4:]) for n in [len(part)]]
+    hashes, counts = np.unique(hmm._tokens(*text.utf8(pa.array([" ".join(words)] * 3)))[0], return_counts=True)
+    cls = np.where(np.arange(len(hashes)) < 40, np.arange(len(hashes)), 40)
+    v = hmm.Vocabulary(int(counts.sum()), len(hashes), hashes, counts, cls, 40, int(counts[40:].sum()), len(hashes) - 40)
+    m = hmm.start_model(v, 3)
+    monkeypatch.setattr(text.slices, "__defaults__", (1000,))
+    calls, walk = [], hmm.log_likelihood
+    monkeypatch.setattr(hmm, "log_likelihood", lambda *a: calls.append(len(a[2]) - 1) or walk(*a))
+    got = pa.Table.from_batches(hmm._scored(batches, v, m, 5)).to_pylist()
+    assert calls == [len(texts)] and [r["row"] for r in got] == list(range(5, 5 + len(texts)))
+    monkeypatch.setattr(hmm, "SIDE", 1)
+    one = pa.Table.from_batches(hmm._scored(batches, v, m, 5)).to_pylist()
+    assert len(calls) > 3
+    for r, o, t in zip(got, one, texts, strict=True):
+        assert math.isclose(r.pop("own"), o.pop("own"), rel_tol=1e-12) and r == o and r["n_tokens"] == len(spaced(t)) + 1
+    assert [x["n"] for x in got[2]["rare"]] == [2] and sum(len(r["rare"]) for r in got) == 1
+
+
+def test_training_pieces_are_walked_in_equal_parts(monkeypatch):
+    """A little more than RUN tokens are one walk, and more are equal ones: a short rest takes as many steps as a full part."""
+    rng = np.random.default_rng(8)
+    emit = rng.random((31, 3))
+    model = hmm.Model(np.full(3, 1 / 3), rng.dirichlet(np.ones(3), 3), emit / emit.sum(axis=0))
+    sizes = np.full(30, 40)
+    classes, bounds = rng.integers(0, 31, 1200), np.append(0, np.cumsum(sizes))
+    monkeypatch.setattr(hmm, "PIECE", 40)
+    walked, walk = [], hmm.Expected._walk
+    monkeypatch.setattr(hmm.Expected, "_walk", lambda self, m, s: walked.append(int(s.active.sum())) or walk(self, m, s))
+    results = []
+    for run, most in ((5000, 1), (1150, 1), (500, 2), (280, 4)):
+        monkeypatch.setattr(hmm, "RUN", run)
+        walked.clear()
+        seen = hmm.Expected.none(3, 30)
+        seen.add(model, classes, bounds)
+        assert sum(walked) == 1200 and len(walked) <= most and max(walked) <= 1.5 * run + 40
+        results.append(seen)
+    for r in results:
+        assert np.allclose(r.emit, results[0].emit) and np.allclose(r.move, results[0].move) and np.isclose(r.emit.sum(), 1200)
+
+
+def test_counts_travel_in_blocks():
+    """Blocks hold the rows with counts only, and add up to the sum over tasks."""
+    rng = np.random.default_rng(9)
+    tasks = [rng.random((hmm.BLOCK * 2 + 5, 3)) * (rng.random((hmm.BLOCK * 2 + 5, 1)) < share) for share in (0.5, 0.01, 0.0)]
+    blocks = [list(hmm._blocks(rows)) for rows in tasks]
+    assert blocks[2] == [] and sum(len(at) // 4 for b in blocks for _, at, _ in b) == sum(int(rows.any(axis=1).sum()) for rows in tasks)
+    added = hmm._added([x for b in blocks for x in b], {}, 3)
+    assert np.allclose(np.concatenate([added[k] for k in range(3)])[:hmm.BLOCK * 2 + 5], sum(tasks))
+    assert hmm._batch([]).num_rows == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,12 @@ ROUNDS = 17
 PIECE = 512
 #: Steps of the recursions between two scalings; that many probabilities multiplied stay far above the least double.
 SCALED = 8
-#: Tokens whose probabilities a training task holds at once.
+#: Tokens whose probabilities a training task holds at once, about; fewer leave steps of few texts.
 RUN = 500_000
+#: Tokens whose texts a scoring task walks side by side; it holds their classes and the narrow columns of their rows.
+SIDE = 1 << 22
+#: Rows of the expected counts that travel together.
+BLOCK = 256
 #: Bytes of text in a row of the written sequences; a longer text has one by itself.
 ROW = 1 << 18
 END = np.uint64(0x5EED0F7E47)  # the token that ends a text
@@ -81,8 +86,12 @@ class Vocabulary:
     rare_tokens: int
     rare_words: int
 
+    @cached_property
+    def _table(self) -> np.ndarray:
+        return np.append(self.cls, self.classes)  # -1 is the last
+
     def class_of(self, place: np.ndarray) -> np.ndarray:
-        return np.append(self.cls, self.classes)[place]  # -1 is the last
+        return self._table[place]
 
 
 @dataclass
@@ -145,42 +154,43 @@ class Expected:
         number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = bounds[:-1][text] + number * PIECE
         size = np.minimum(sizes[text] - number * PIECE, PIECE)
-        for a, b in slices(np.append(0, np.cumsum(size)), RUN):
+        total = int(size.sum())
+        parts = max(1, round(total / RUN))  # equal ones: a short rest would take as many steps
+        for a, b in slices(np.append(0, np.cumsum(size)), -(-total // parts) + PIECE):
             self._walk(model, Sequences(classes, begin[a:b], size[a:b]))
 
     def _walk(self, model: Model, s: Sequences) -> None:
-        """The same for some pieces. A state is a row here, so that a step adds and multiplies whole rows; the steps lie side by side."""
+        """The same for some pieces. A state is a row and a step a block of its own, so that a step adds and multiplies whole rows that lie together."""
+        states, cut = len(model.start), np.append(0, np.cumsum(s.active)).tolist()
         emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
-        ids, cut = np.concatenate([s.at(t) for t in range(s.steps)]), np.append(0, np.cumsum(s.active))
-        scaled = emit.take(ids, axis=1)
-        alphas = np.empty_like(scaled)
+        ids, shares = np.empty(cut[-1], np.int64), np.empty((states, cut[-1]))
+        alphas, scaled = [], []
         for t in range(s.steps):
-            here, alpha = scaled[:, cut[t]:cut[t + 1]], alphas[:, cut[t]:cut[t + 1]]
-            if t:
-                np.matmul(move, alphas[:, cut[t - 1]:cut[t - 1] + alpha.shape[1]], out=alpha)
-                alpha *= here
-            else:
-                np.multiply(model.start[:, None], here, out=alpha)
+            ids[cut[t]:cut[t + 1]] = s.at(t)
+            here = emit.take(ids[cut[t]:cut[t + 1]], axis=1)
+            alpha = (move @ alphas[-1][:, :here.shape[1]] if t else model.start[:, None]) * here
             if t % SCALED == 0:
                 scale = 1.0 / alpha.sum(axis=0)
                 alpha *= scale
                 here *= scale
-        met, ahead = np.zeros_like(move), np.empty((len(move), 0))
+            alphas.append(alpha)
+            scaled.append(here)
+        met, ahead = np.zeros_like(move), np.empty((states, 0))
         for t in range(s.steps - 1, -1, -1):
-            alpha, m = alphas[:, cut[t]:cut[t + 1]], ahead.shape[1]
-            beta = np.empty(alpha.shape)
+            alpha, m = alphas.pop(), ahead.shape[1]
+            beta = np.empty_like(alpha)
             if m:
                 met += alpha[:, :m] @ ahead.T
                 np.matmul(model.move, ahead, out=beta[:, :m])
             if m < alpha.shape[1]:
                 beta[:, m:] = 1.0 / alpha[:, m:].sum(axis=0)  # pieces that end here
-            alpha *= beta
-            ahead = scaled[:, cut[t]:cut[t + 1]]
+            np.multiply(alpha, beta, out=shares[:, cut[t]:cut[t + 1]])
+            ahead = scaled.pop()
             ahead *= beta
         self.move += met * model.move
-        self.start += alphas[:, :cut[1]].sum(axis=1)
-        for k in range(len(model.start)):
-            self.emit[:, k] += np.bincount(ids, alphas[k], len(self.emit))
+        self.start += shares[:, :cut[1]].sum(axis=1)
+        for k in range(states):
+            self.emit[:, k] += np.bincount(ids, shares[k], len(self.emit))
 
     def model(self, prior: np.ndarray) -> Model:
         """The most likely model for these counts, each with a little of the words' overall shares."""
@@ -295,37 +305,69 @@ def write_sequences(docs: DataFrame, shared_vocabulary, path: str) -> None:
     docs.select("text").mapInArrow(run, SEQUENCES).write.parquet(path)
 
 
+COUNTS = T.StructType([T.StructField("block", T.LongType()), T.StructField("at", T.BinaryType()), T.StructField("sums", T.BinaryType())])
+
+
+def _blocks(rows: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """The rows with counts, BLOCK by BLOCK: number of the block, places in it and counts."""
+    for k in range(0, len(rows), BLOCK):
+        block = rows[k:k + BLOCK]
+        at = np.flatnonzero(block.any(axis=1))
+        if len(at):
+            yield k // BLOCK, at.astype("<u4").tobytes(), block[at].astype("<f8").tobytes()
+
+
+def _added(blocks, rows: dict[int, np.ndarray], states: int) -> dict[int, np.ndarray]:
+    for number, at, sums in blocks:
+        rows.setdefault(number, np.zeros((BLOCK, states)))[np.frombuffer(at, "<u4")] += np.frombuffer(sums, "<f8").reshape(-1, states)
+    return rows
+
+
+def _batch(blocks) -> pa.RecordBatch:
+    columns = list(zip(*blocks, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], COUNTS.names)
+
+
 def train_round(sequences: DataFrame, model: Model, prior: np.ndarray) -> Model:
-    """One Baum-Welch round over all of ``sequences``: expected counts are added up by class across tasks."""
+    """One Baum-Welch round over all of ``sequences``: expected counts are added up by class across tasks.
+
+    Tasks send them in blocks of classes, which are dealt out by number and added as they come.
+    """
     spark, states, classes = sequences.sparkSession, len(model.start), len(prior) - 1
     shared = spark.sparkContext.broadcast(model)
-    names = [f"s{k}" for k in range(states)]
-    schema = T.StructType([T.StructField("row", T.LongType()), *(T.StructField(n, T.DoubleType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, seen, held = shared.value, Expected.none(states, classes), []
+        m, seen, held, size = shared.value, Expected.none(states, classes), [], 0
+        number = np.dtype(_number(classes))
 
         def add() -> None:
-            ids, sizes = (np.concatenate([np.frombuffer(x[k], n) for x in held]).astype(np.int64) for k, n in ((0, _number(classes)), (1, "<u4")))
+            ids, sizes = (np.concatenate([np.frombuffer(x[k], n) for x in held]).astype(np.int64) for k, n in ((0, number), (1, "<u4")))
             seen.add(m, ids, np.append(0, np.cumsum(sizes)))
             held.clear()
 
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 held.append(row)
-                if sum(len(ids) for ids, _ in held) >= 2 * RUN:
+                size += len(row[0])
+                if size >= RUN * number.itemsize:
                     add()
+                    size = 0
         if held:
             add()
-        rows = np.concatenate([seen.emit, seen.move, seen.start[None, :]])
-        own = np.flatnonzero(rows.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(rows[own, k]) for k in range(states))], schema.names)
-
-    summed = sequences.mapInArrow(run, schema).groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
-    rows = np.zeros((len(prior) + states + 1, states))
-    at = summed["row"].to_numpy()
-    for k, n in enumerate(names):
-        rows[at, k] = summed[n].to_numpy()
+        yield _batch(_blocks(np.concatenate([seen.emit, seen.move, seen.start[None, :]])))
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, np.ndarray] = {}
+        for batch in batches:
+            _added(zip(*(column.to_pylist() for column in batch.columns), strict=True), rows, states)
+        every = np.arange(BLOCK).astype("<u4").tobytes()
+        yield _batch((k, every, block.tobytes()) for k, block in rows.items())
+
+    summed = sequences.mapInArrow(run, COUNTS).repartition("block").mapInArrow(together, COUNTS).toArrow()
+    total = np.zeros((-(-(len(prior) + states + 1) // BLOCK), BLOCK, states))
+    for k, block in _added(zip(*(summed[n].to_pylist() for n in COUNTS.names), strict=True), {}, states).items():
+        total[k] = block
+    rows = total.reshape(-1, states)[:len(prior) + states + 1]
     shared.unpersist()
     return Expected(rows[-1], rows[len(prior):-1], rows[:len(prior)]).model(prior)
 
@@ -338,45 +380,70 @@ SCORED = T.StructType([
 ])
 
 
+def _scored(batches: Iterator[pa.RecordBatch], v: Vocabulary, m: Model, number: int) -> Iterator[pa.RecordBatch]:
+    """Rows of SCORED for batches of doc_id, held_out, text; ``number`` is that of the first row.
+
+    Texts of SIDE tokens are walked side by side: a step of the recursion costs the same for one long text as for hundreds.
+    """
+    find = Lookup(v.hashes)
+    logs = np.append(np.log10(v.counts + 1.0), 0.0)  # -1 is the last: a count that is looked up later
+    seen = np.append(v.counts > 0, False)
+    in_rare = math.log10(v.rare_tokens + v.rare_words + 1)
+    held: list[tuple[list[pa.Array], np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
+    size = 0
+
+    def walked() -> pa.RecordBatch:
+        columns, classes, sizes, in_class, lists = zip(*held, strict=True)
+        own = log_likelihood(m, np.concatenate(classes), np.append(0, np.cumsum(np.concatenate(sizes))))
+        own = own / math.log(10) + np.concatenate(in_class)
+        held.clear()
+        return pa.RecordBatch.from_arrays(
+            [*(pa.concat_arrays(c) for c in zip(*columns, strict=True)), pa.array(own), pa.concat_arrays(lists)], SCORED.names)
+
+    for batch in batches:
+        raw, bounds = utf8(batch.column(2))
+        for a, b in slices(bounds):
+            hashes, cut = _tokens(raw, bounds[a:b + 1])
+            place = find(hashes)
+            classes = v.class_of(place)
+            rare = classes == v.classes
+            text = np.repeat(np.arange(b - a), np.diff(cut))
+
+            def by_text(values: np.ndarray) -> np.ndarray:
+                return np.bincount(text, values, b - a)  # noqa: B023 - used at once
+
+            left = np.flatnonzero(place < 0)
+            order = left[np.lexsort((hashes[left], text[left]))]
+            t, h = text[order], hashes[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
+            at = np.flatnonzero(new)
+            pairs = pa.StructArray.from_arrays([
+                pa.array(h[at].view(np.int64)), pa.array(np.diff(np.append(at, len(order)))),
+            ], ["hash", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(t[at], np.arange(b - a + 1)), pa.int32()), pairs)
+            here = pa.array(np.arange(a, b))  # what is taken is a copy and does not hold the batch
+            columns = [
+                pa.array(np.arange(number, number + b - a)), batch.column(0).take(here), batch.column(1).take(here),
+                pa.array(np.diff(cut)), pa.array(by_text(seen[place]).astype(np.int64)), pa.array(by_text(logs[place])),
+            ]
+            in_class = by_text(np.where(rare, logs[place] - in_rare, 0.0))
+            held.append((columns, classes.astype(_number(v.classes)), np.diff(cut), in_class, lists))
+            number += b - a
+            size += len(classes)
+            if size >= SIDE:
+                yield walked()
+                size = 0
+    if held:
+        yield walked()
+
+
 def _score(docs: DataFrame, shared_vocabulary, model: Model) -> DataFrame:
     """Rows of SCORED for doc_id, held_out, text; what the broadcast counts don't have is left in ``rare``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, m = shared_vocabulary.value, shared.value
-        find, number = Lookup(v.hashes), TaskContext.get().partitionId() << 40
-        logs = np.append(np.log10(v.counts + 1.0), 0.0)  # -1 is the last: a count that is looked up later
-        seen = np.append(v.counts > 0, False)
-        in_rare = math.log10(v.rare_tokens + v.rare_words + 1)
-        for batch in batches:
-            raw, bounds = utf8(batch.column(2))
-            for a, b in slices(bounds):
-                hashes, cut = _tokens(raw, bounds[a:b + 1])
-                place = find(hashes)
-                classes = v.class_of(place)
-                rare = classes == v.classes
-                text = np.repeat(np.arange(b - a), np.diff(cut))
-
-                def by_text(values: np.ndarray) -> np.ndarray:
-                    return np.bincount(text, values, b - a)  # noqa: B023 - used at once
-
-                own = log_likelihood(m, classes, cut) / math.log(10) + by_text(np.where(rare, logs[place] - in_rare, 0.0))
-                left = np.flatnonzero(place < 0)
-                order = left[np.lexsort((hashes[left], text[left]))]
-                t, h = text[order], hashes[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
-                at = np.flatnonzero(new)
-                pairs = pa.StructArray.from_arrays([
-                    pa.array(h[at].view(np.int64)), pa.array(np.diff(np.append(at, len(order)))),
-                ], ["hash", "n"])
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(t[at], np.arange(b - a + 1)), pa.int32()), pairs)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(number, number + b - a)), batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                    pa.array(np.diff(cut)), pa.array(by_text(seen[place]).astype(np.int64)), pa.array(by_text(logs[place])),
-                    pa.array(own), lists,
-                ], SCORED.names)
-                number += b - a
+        yield from _scored(batches, shared_vocabulary.value, shared.value, TaskContext.get().partitionId() << 40)
 
     return docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(run, SCORED)
 
