@@ -418,3 +418,19 @@ def test_counts_travel_in_blocks():
     added = hmm._added([x for b in blocks for x in b], {}, 3)
     assert np.allclose(np.concatenate([added[k] for k in range(3)])[:hmm.BLOCK * 2 + 5], sum(tasks))
     assert hmm._batch([]).num_rows == 0
+
+
+def test_lists_of_a_segment_stay_in_arrow():
+    """A row of the files keeps its lists as arrays, null ids included, and decodes to the ids it was made of."""
+    import pyarrow as pa
+
+    from touchline.llm import token_files as f
+
+    ids = np.random.default_rng(2).integers(0, 900, 5000, dtype=np.uint32)
+    c = rans.encode(ids)
+    row = (3, 0, 0, len(ids), [None, 7], [4000, 1000], c.bits, c.symbols, c.freqs, c.offsets, c.states.astype("<u8").tobytes(),
+           f._block_sums(ids), c.words.astype("<u4").tobytes())
+    batch = pa.RecordBatch.from_arrays([pa.array([v, v], t.type) for v, t in zip(row, f._ARROW, strict=True)], schema=f._ARROW)
+    got = f._values(batch, 1)
+    assert all(isinstance(got[t.name], pa.Array) == pa.types.is_list(t.type) for t in f._ARROW)
+    assert got["doc_ids"].to_pylist() == [None, 7] and (rans.decode(f._segment(got)) == ids).all()

@@ -97,10 +97,16 @@ def write_token_files(
     rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, FORMAT).write.parquet(path)
 
 
+def _values(batch: pa.RecordBatch, k: int) -> dict:
+    """A row of the files by column: lists as Arrow arrays, whose numbers need not become Python objects, the rest as Python values."""
+    row = {name: batch.column(i)[k] for i, name in enumerate(batch.schema.names)}
+    return {name: v.values if isinstance(v, pa.ListScalar) else v.as_py() for name, v in row.items()}
+
+
 def _segment(row: dict) -> rans.Coded:
     return rans.Coded(
-        row["n_tokens"], row["bits"], np.array(row["symbols"], np.int64), np.array(row["freqs"], np.int64),
-        np.frombuffer(row["payload"], "<u4"), np.array(row["checkpoints"], np.int64),
+        row["n_tokens"], row["bits"], row["symbols"].to_numpy(), row["freqs"].to_numpy(),
+        np.frombuffer(row["payload"], "<u4"), row["checkpoints"].to_numpy(),
         np.frombuffer(row["states"], "<u8").reshape(-1, rans.LANES),
     )
 
@@ -129,15 +135,15 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
+                row = _values(batch, k)
                 ids = rans.decode(_segment(row))
-                if _block_sums(ids) != row["checksums"]:
+                if _block_sums(ids) != row["checksums"].to_numpy().tolist():
                     raise ValueError(f"part {row['part']}, segment {row['segment']}: a block's checksum differs")
-                sizes = np.array(row["doc_tokens"], np.int64)
+                sizes = row["doc_tokens"].to_numpy()
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
                 columns = [
-                    pa.array(np.full(len(sizes), row["part"]), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
+                    pa.array(np.full(len(sizes), row["part"]), pa.int64()), row["doc_ids"],
                     pa.array(starts + row["first_token"]), pa.array(sizes),
                     pa.array([zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)], pa.int64()),
                 ]
