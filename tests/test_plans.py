@@ -179,3 +179,38 @@ def test_filter_by_a_table(spark, monkeypatch):
         m.setattr(type(rows), "collect", lambda *_: 1 / 0)
         found = p7_long(spark, "/root/testdata/sf0.001")
     assert {r.o_orderkey % 5 for r in found.collect()} == {2}
+
+
+def player_tables(spark):
+    """Fixtures 1 and 2 in two seasons; player 2 has two positions in season 22, player 3 is unknown there."""
+    details = spark.createDataFrame(
+        [(s, p, f, p % 2 == 0, 30.0 * p, *[float(p + f)] * 11) for s in (21, 22) for p in (1, 2, 3, 4) for f in (1, 2)],
+        "season_start_year int, element bigint, fixture bigint, was_home boolean, minutes double, "
+        + ", ".join(f"{c} double" for c in players.RATE_COLUMNS + players.IMPACT_COLUMNS))
+    details = details.withColumn("kickoff_time", F.make_date(F.lit(2022), F.lit(8), F.col("fixture").cast("int")).cast("timestamp_ntz"))
+    known = [(21, 1, 1), (21, 2, 2), (21, 3, 3), (21, 4, 9), (22, 1, 1), (22, 2, 2), (22, 2, 3), (22, 4, 4), (None, 1, 2)]
+    info = spark.createDataFrame(known, "season_start_year int, id bigint, element_type int")
+    games = table(spark, *[game(f, f, 7, 8, 1, 0, season=s) for s in (21, 22) for f in (1, 2)])
+    return details, info, games_plan.team_games(games)
+
+
+def test_positions_are_the_same_broadcast_and_joined(spark, monkeypatch):
+    details, info, team_games = player_tables(spark)
+    columns = ["season_start_year", "player_id", "fixture", "position", "team_id_season", "next_id"]
+    few = sorted(map(tuple, players.player_games(details, info, team_games).select(columns).collect()), key=str)
+    monkeypatch.setattr(players, "MAX_BROADCAST_POSITIONS", 0)
+    many = sorted(map(tuple, players.player_games(details, info, team_games).select(columns).collect()), key=str)
+    assert few == many and len(few) == 16
+    assert [(r[3], r[4], r[5]) for r in few if r[:3] == (22, 2, 1)] == [("D", 7, 2), ("M", 7, 2)]
+    assert not [r for r in few if r[:2] == (22, 3)] and (21, 4, 2, "F", 7, None) in few
+
+
+def test_player_rows_stay_with_their_game(spark):
+    """Rows that lie by fixture get position, team and the team's minutes there; only the team rows move."""
+    details, info, team_games = player_tables(spark)
+    found = players.player_measures(players.player_games(details.repartition("fixture"), info, team_games))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "team_id_season" not in line]
+    assert len(wide) == 2 and all("fixture" in line or "id#" in line for line in wide)
+    total = {(r.season_start_year, r.fixture, r.team_id_season): r.team_total_minutes for r in found.collect()}
+    assert total[21, 1, 7] == 180.0 and total[22, 1, 7] == 240.0 and total[22, 1, 8] == 30.0
