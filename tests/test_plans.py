@@ -205,6 +205,21 @@ def test_positions_are_the_same_broadcast_and_joined(spark, monkeypatch):
     assert not [r for r in few if r[:2] == (22, 3)] and (21, 4, 2, "F", 7, None) in few
 
 
+def test_rolled_player_values_move_once(spark):
+    """The maxima of a team's next game need one shuffle of the rolled values, by that game; cut players give the same."""
+    details, info, team_games = player_tables(spark)
+    found = players.team_player_stats(details, info, team_games, 2)
+    exchanges = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x and "next_id" in x]
+    assert len(exchanges) == 1 and "hashpartitioning(next_id" in exchanges[0]
+    rows = sorted(map(tuple, found.collect()))
+    assert [r[:3] for r in rows] == [(21, 7, 2), (21, 8, 2), (22, 7, 2), (22, 8, 2)]
+    spark.conf.set("spark.touchline.rowsPerBlock", "1")
+    try:
+        assert sorted(map(tuple, players.team_player_stats(details, info, team_games, 2).collect())) == rows
+    finally:
+        spark.conf.unset("spark.touchline.rowsPerBlock")
+
+
 def test_player_rows_stay_with_their_game(spark):
     """Rows that lie by fixture get position, team and the team's minutes there; only the team rows move."""
     details, info, team_games = player_tables(spark)
