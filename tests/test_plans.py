@@ -229,3 +229,37 @@ def test_player_rows_stay_with_their_game(spark):
     assert len(wide) == 2 and all("fixture" in line or "id#" in line for line in wide)
     total = {(r.season_start_year, r.fixture, r.team_id_season): r.team_total_minutes for r in found.collect()}
     assert total[21, 1, 7] == 180.0 and total[22, 1, 7] == 240.0 and total[22, 1, 8] == 30.0
+
+
+def test_join_where_rows_were_dealt(spark):
+    """Equal to the join on all keys, with repeated ids, nulls and rows without a partner; the left rows stay."""
+    from touchline.operators.relational import join_on, join_where_dealt
+
+    rows = [(None if k % 7 == 0 else k % 5, None if k % 11 == 0 else k % 3, f"t{k % 2}", k) for k in range(60)]
+    left = spark.createDataFrame(rows, "id int, season int, team string, v int").repartition("id")
+    right = spark.createDataFrame(rows[::3], "game int, year int, side string, w int")
+    pairs = [("season", "year"), ("team", "side")]
+    for how in ("inner", "left"):
+        expected = join_on(left, right, [("id", "game"), *pairs], how)
+        found = join_where_dealt(left, right, ("id", "game"), pairs, how)
+        assert found.columns == expected.columns == ["id", "season", "team", "v", "w"]
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = join_where_dealt(left, right, ("id", "game"), pairs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and "season" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_features_are_joined_where_player_values_lie(spark):
+    """No shuffle of the wide feature rows: none goes by season and the teams of a game."""
+    from checks.composites import feature_data
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = feature_data(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [x.partition("hashpartitioning")[2] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert dealt and not [x for x in dealt if "season" in x and ("team_h" in x or "team_a" in x)]
