@@ -19,7 +19,7 @@ ROWS_PER_DOCUMENT = 500
 
 
 def land(df: DataFrame, name: str, chunk: list[Column], items: list[str], field: str | None, key: str | None = None) -> str:
-    """Write rows as JSON documents of bounded size, one per line; returns the folder.
+    """Write rows as JSON documents of bounded size, one per line, compressed; returns the folder.
 
     ``field`` names the array inside a document (None: the document is the array), ``key`` a column
     that becomes the document's ``id``.
@@ -32,7 +32,7 @@ def land(df: DataFrame, name: str, chunk: list[Column], items: list[str], field:
         line = F.to_json("items")
     else:
         line = F.to_json(F.struct(*(["id"] if key else []), F.col("items").alias(field)))
-    documents.select(line.alias("value")).write.text(path)
+    documents.select(line.alias("value")).write.option("compression", "gzip").text(path)
     return path
 
 

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +147,33 @@ def test_results_keep_other_parts(spark, tmp_path):
     snapshots.write_result(one.withColumn("Metric value", F.lit(2.0)), root, "metrics", "label_1", "Decision Tree")
     found = {r.label: r["Metric value"] for r in snapshots.read_results(spark, root, "metrics").collect()}
     assert found == {"label_1": 2.0, "label_2": 1.0}
+
+
+def test_players_are_broadcast_to_their_documents_or_joined(spark, tmp_path, monkeypatch):
+    """Documents are not shuffled while players are few; both ways give the same, unknown players and repeated names included."""
+    lines = [json.dumps({"id": p, "history": [{"element": p, "fixture": f, "minutes": 1.0 * f} for f in range(p)]}) for p in range(6)]
+    (tmp_path / "history.json").write_text("\n".join(lines))
+    known = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", 5), (None, 4), ("e", 9)], "playername string, id bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = landed.read_player_details(spark, str(tmp_path), known, multi_line=False)
+        assert "Exchange hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(landed, "MAX_BROADCAST_PLAYERS", 0)
+        many = landed.read_player_details(spark, str(tmp_path), known, multi_line=False)
+        assert "Exchange hashpartitioning" in many._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(str, few.select("element", "fixture", "playername").collect()))
+        assert rows == sorted(map(str, many.select("element", "fixture", "playername").collect())) and len(rows) == 1 + 3 + 3 + 5 + 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_documents_are_landed_compressed(spark, tmp_path):
+    """A row takes some 300 bytes as JSON; on disk it takes less than a third."""
+    from checks import adapters
+    from checks.landed import chunk_of, land
+
+    rows = adapters.details(spark, "/root/testdata/sf0.001").select("element", "fixture", "minutes", "influence", "creativity", "threat", "selected")
+    path = land(rows, "history", chunk_of("fixture"), rows.columns, "history", "element")
+    text = spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+    held = sum(p.stat().st_size for p in Path(path.removeprefix("file:")).rglob("part-*"))
+    assert 0 < held < text / 3

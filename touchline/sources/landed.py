@@ -25,6 +25,9 @@ _TYPES = {
     "STRING": T.StringType(), "BOOLEAN": T.BooleanType(),
 }
 
+#: Players that may be broadcast to their documents; beyond, documents are shuffled. They are counted first.
+MAX_BROADCAST_PLAYERS = 500_000
+
 
 def _ddl(text: str) -> T.StructType:
     """``name TYPE, ...`` as a schema, without needing a session."""
@@ -140,12 +143,14 @@ def _player_documents(
 def _with_names(
     documents: DataFrame, field: str, players: DataFrame, ids: Sequence[int] | DataFrame | None, names: Sequence[str] | DataFrame | None
 ) -> DataFrame:
-    """Select players while rows are still whole documents, then flatten."""
+    """Select players while rows are still whole documents, then flatten. Players are broadcast while they are few."""
     if ids is not None:
         documents = filter_in(documents, "__player", ids)
     if names is not None:
         players = filter_in(players, "playername", names)
-    named = documents.join(players.withColumnRenamed("id", "__player"), "__player")
+    players = players.withColumnRenamed("id", "__player")
+    few = players.count() <= MAX_BROADCAST_PLAYERS
+    named = documents.join(F.broadcast(players) if few else players, "__player")
     return named.select(F.inline(field), "playername")
 
 
