@@ -223,3 +223,25 @@ def test_registered_training_is_the_whole_search(spark, monkeypatch):
     monkeypatch.setattr(learning.training, "write_splits", lambda *a: None)
     learning._train(spark.range(1), ["label_1"])
     assert calls == [(models.GRIDS, {"draws": 30, "folds": 3})]
+
+
+def test_folds_lie_in_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    """Whatever the shuffle setting, with the same rows in the same places; numbering by label alone leaves two full tasks."""
+    monkeypatch.setattr(search, "ROWS_PER_TASK", 100)
+    found = []
+    for partitions in ("8", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            numbers = spark.range(300).select("id", (F.col("id") % 2).alias("y"), (F.xxhash64("id") % 1000 / 1000.0).alias("x"))
+            rows = search.stratified_folds(numbers, ["id"], "y")
+            plan = preprocess.build_preprocessor(rows, ["x"], {}, exclude=("id", "y", search.FOLD))
+            folds = search.prepare_folds(rows, "y", plan.fit_folds(rows, search.FOLD))
+            assert [f.rows for f in folds] == [200] * 3
+            held = [f.cached.rdd.glom().map(lambda part: [str(r) for r in part]).collect() for f in folds]
+            for f in folds:
+                f.cached.unpersist()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert [len(parts) for parts in held] == [3] * 3 and max(len(p) for parts in held for p in parts) < 200
+        found.append(held)
+    assert found[0] == found[1]
